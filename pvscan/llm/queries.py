@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pvscan.llm import chat, decontaminate, jaccard, mixing, sstable, substrings, toxicity, url_filter, winnow
+from pvscan.llm import chat, decontaminate, jaccard, kneser_ney, mixing, sstable, substrings, toxicity, url_filter, winnow
 
 QUERIES = {
+    "op1_quality": kneser_ney.op1_quality,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat": chat.op4_chat,
