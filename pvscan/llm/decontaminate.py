@@ -87,7 +87,8 @@ def _by_table(docs: DataFrame, grams: DataFrame, text: str) -> DataFrame:
             table[r["hash"] % buckets].append({"hash": r["hash"], "length": r["length"], "words": r["words"], "items": list(r["items"])})
         out, hits = _looked_up(out, table, head)
         found.append(hits.cast(_HIT))
-    out = out.withColumn("hits", F.concat(*found))
+    # A filter on the results is not to be pushed below the scan, where it would compute all of this again for each window.
+    out = out.withColumn("hits", F.when(F.monotonically_increasing_id() >= 0, F.concat(*found)))
     return out.drop(*[c for c in out.columns if c.startswith("__g") or c.startswith("__c") or c in ("__h", "__ws")])
 
 

@@ -33,7 +33,9 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W)
     step = df.withColumn(h, hashed)
     step = step.withColumn(g, F.when(F.size(h) > 0, F.slice(runs, F.lit(1), F.greatest(F.size(h) - F.lit(k - 1), F.lit(1)))).otherwise(F.array().cast("array<bigint>"))).drop(h)
     step = step.withColumn(m, F.when(F.size(g) > 0, F.slice(least, F.lit(1), F.greatest(F.size(g) - F.lit(w - 1), F.lit(1)))).otherwise(F.array().cast("array<bigint>"))).drop(g)
-    return step.withColumn(out, F.filter(F.col(m), lambda x, i: (i == 0) | (x != F.coalesce(F.get(F.col(m), i - 1), x - 1)))).drop(m)
+    kept = F.filter(F.col(m), lambda x, i: (i == 0) | (x != F.coalesce(F.get(F.col(m), i - 1), x - 1)))
+    # A filter on the fingerprint is not to be pushed below it, where it would compute all of this again for each token.
+    return step.withColumn(out, F.when(F.monotonically_increasing_id() >= 0, kept)).drop(m)
 
 
 def positions(fingerprint: Column) -> Column:
