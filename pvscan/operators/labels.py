@@ -7,7 +7,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType, DoubleType
 
 from pvscan.operators import spatial
 from pvscan.operators.graph import components
@@ -119,3 +119,20 @@ def with_building_id(buildings: DataFrame, order: list[str]) -> DataFrame:
 def solar_free(buildings: DataFrame, solar: DataFrame, buffer_m: float, key: str = "building_id") -> DataFrame:
     """Buildings farther than ``buffer_m`` from all solar; all of them if there is none."""
     return spatial.anti(buildings, solar, key, within=buffer_m)
+
+
+def points_of(later: DataFrame, kept: DataFrame, key: str = "id") -> DataFrame:
+    """Keys of ``later`` whose shape's centroid is strictly inside a kept shape's box and shape."""
+    from pvscan.functions import geo
+
+    at = later.select(key, geo.centroid(F.col("shape")).alias("p")).select(key, F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    own = at.select(key, "x", "y", F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    met = spatial.box_pairs(own, kept.select("shape", *spatial.BOX))
+    return met.where(_inside("l_x", "l_y", "r_shape")).select(F.col(f"l_{key}").alias(key)).distinct()
+
+
+@F.pandas_udf(BooleanType())
+def _inside(x: pd.Series, y: pd.Series, shape: pd.Series) -> pd.Series:
+    from pvscan.functions import kernels
+
+    return pd.Series([any(kernels.points_in_polygon(np.array([[a, b]]), p)[0] for p in kernels.rings(s)) for a, b, s in zip(x, y, shape, strict=True)], dtype=bool)

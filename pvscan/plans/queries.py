@@ -37,7 +37,7 @@ _Q = f"(1 - {geo.E2!r}) * (sin(radians(L)) / (1 - {geo.E2!r} * sin(radians(L)) *
 _AREA = f"radians(east - west) * {geo.A * geo._K0!r} * (({_Q.replace('L', 'north')}) - ({_Q.replace('L', 'south')}))"
 
 
-@query(f"""select ix, iy, round(6.0 + ix * 0.5, 9) as west, round(51.0 + iy * 0.5, 9) as south, round(least(6.0 + (ix + 1) * 0.5, 7.3), 9) as east, round(least(51.0 + (iy + 1) * 0.5, 52.2), 9) as north
+@query(f"""select ix, iy, round(6e0 + ix * 5e-1, 9) as west, round(51e0 + iy * 5e-1, 9) as south, round(least(6e0 + (ix + 1) * 5e-1, 73e-1), 9) as east, round(least(51e0 + (iy + 1) * 5e-1, 522e-1), 9) as north
 from (select cast(unnest(generate_series(0, 2)) as integer) as ix) a, (select cast(unnest(generate_series(0, 2)) as integer) as iy) b""")
 def aoi_bbox_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = geo.bbox_grid(spark, BOUNDS, 0.5)
