@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 TOGETHER, MOST, LEAST = 4_000_000, 1 << 19, 32
 
 
-def hot_grams(docs: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[dict[str, np.ndarray]]], kinds: list[str], least: int = LEAST, most: int = MOST) -> dict[str, np.ndarray]:
-    """Sorted hashes of the hot grams of each kind; ``grams`` yields arrays of hashes by kind."""
+def hot_grams(docs: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[dict[str, np.ndarray]]], kinds: list[str], least: int = LEAST, most: int = MOST, counted: bool = False) -> dict:
+    """Sorted hashes of the hot grams of each kind (``counted``: and how often each was counted); ``grams`` yields arrays of hashes by kind."""
 
     def flush(kind: str, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         name, count = np.unique(np.concatenate(parts), return_counts=True)
@@ -43,7 +43,10 @@ def hot_grams(docs: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[dict[s
     out = {}
     rows = counts.orderBy(F.desc("n"), "hash").limit(most).toPandas()
     for kind in kinds:
-        out[kind] = np.sort(rows.hash[rows.kind == kind].to_numpy().view(np.uint64))
+        own = rows[rows.kind == kind]
+        name, n = own.hash.to_numpy().view(np.uint64), own.n.to_numpy(np.int64)
+        order = np.argsort(name)
+        out[kind] = (name[order], n[order]) if counted else name[order]
     return out
 
 
