@@ -21,6 +21,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import io
+import itertools
 import json
 import os
 import struct
@@ -36,6 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pvscan.llm import textgrams
+from pvscan.llm.hotgrams import among
 from pvscan.scratch import scratch_path, written
 
 BLOCK = 1 << 16
@@ -188,12 +190,13 @@ class Encoder:
     """Encodes columns of texts with a tokenizer file, exactly as its ``encode_batch`` does.
 
     A byte-level BPE without normaliser never joins the characters on both sides of a single space or
-    line feed between two other characters: texts are cut there, distinct pieces are encoded once and
+    line feed between two other characters, nor a letter and a mark of punctuation after it: texts are cut
+    there, distinct pieces are encoded once and
     kept (up to ``most`` of them, told apart by a 64-bit hash and length). Texts that hold an added token's string,
     and all texts for other kinds of tokenizer, are encoded whole.
     """
 
-    def __init__(self, path: str, end: int, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, end: int, most: int = 3_000_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -203,10 +206,30 @@ class Encoder:
         self.cuts = about["model"]["type"] == "BPE" and not about.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not about.get("truncation") and not about.get("padding")
         self.added = [x["content"].encode() for x in about.get("added_tokens", [])]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else 4
-        self.kind, self.end, self.most, self.known = np.dtype(f"<u{self.width}"), end, most, {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.kind, self.end, self.most = np.dtype(f"<u{self.width}"), end, most
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pieces: their hashes, sorted, and where in ``pool`` their ids are; some twenty bytes each."""
+        self.known, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.pool, self.filled = np.empty(1 << 16, self.kind), 0
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has."""
+        lists = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int32, len(lists))
+        return np.fromiter(itertools.chain.from_iterable(lists), self.kind, int(sizes.sum())), sizes
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        ids, sizes = self._encode(texts)
+        while self.filled + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.filled : self.filled + len(ids)] = ids
+        at = self.filled + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.filled += len(ids)
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")
+        self.known, self.at, self.size = known[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, sizes])[order]
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text and the end id."""
@@ -227,24 +250,22 @@ class Encoder:
         codes, distinct = pd.factorize(hashes)
         where = np.empty(len(distinct), np.int64)
         where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        names = distinct.tolist()
         if len(self.known) > self.most:
-            self.known.clear()
-        new = [i for i, h in enumerate(names) if h not in self.known]
-        if new and self.cuts:
-            pieces = [data[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]
-            self.known.update(zip((names[i] for i in new), self._ids(pieces), strict=True))
-        pool = [self.known.get(h, b"") for h in names]
-        sizes = np.fromiter(map(len, pool), np.int64, len(pool)) // self.width
-        ids = np.frombuffer(b"".join(pool), self.kind)
-        at = np.cumsum(sizes) - sizes
-        each = sizes[codes]
+            self._forget()
+        if self.cuts and len(distinct):
+            new = np.flatnonzero(~among(self.known, distinct))
+            if len(new):
+                self._learn(distinct[new], [data[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
+            slot = np.searchsorted(self.known, distinct)[codes]
+            at, each = self.at[slot], self.size[slot].astype(np.int64)
+        else:
+            at = each = np.zeros(len(codes), np.int64)
         begin = np.cumsum(each) - each
-        ids = ids[np.repeat(at[codes] - begin, each) + np.arange(int(each.sum()))] if len(codes) else ids
+        ids = self.pool[np.repeat(at - begin, each) + np.arange(int(each.sum()))]
         edge = np.append(begin, int(each.sum()))[np.searchsorted(starts, offsets)]
         for d in range(len(offsets) - 1):
             if whole[d]:
-                own = np.frombuffer(self._ids([data[offsets[d] : offsets[d + 1]].decode()])[0], self.kind)
+                own = self._encode([data[offsets[d] : offsets[d + 1]].decode()])[0]
             else:
                 own = ids[edge[d] : edge[d + 1]]
             yield np.concatenate([own, tail])
@@ -264,11 +285,18 @@ class Encoder:
             feed = inner & (here == 0x0A)
             flag[1 : n - 1] |= (inner & (here == 0x20)) | feed
             flag[2:n] |= feed
+            letter = _LETTER[raw[:-1]]
+            letter[1:] |= (raw[:-2] == 0xC3) & (raw[1:-1] != 0x97) & (raw[1:-1] != 0xB7)
+            flag[1:n] |= letter & _MARK[raw[1:]]
         return np.flatnonzero(flag[:n])
 
 
 _GRAPHIC = np.zeros(256, bool)
 _GRAPHIC[0x21:0x7F] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,;:!?"]] = True
 _LEAD_OF_TWO = np.zeros(256, bool)
 _LEAD_OF_TWO[0xC3:0xE0] = True
 #: First bytes of characters among which there is no white space.
@@ -278,6 +306,17 @@ _LEAD[[*range(0xC3, 0xE1), *range(0xE4, 0xF5)]] = True
 MANIFEST = "shard long, path string, n_docs long, n_tokens long"
 
 
+#: A Python worker keeps its encoder, with the pieces it knows, for its next tasks.
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def _encoder(tokenizer: str, end: int) -> Encoder:
+    if (tokenizer, end) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer, end] = Encoder(tokenizer, end)
+    return _ENCODERS[tokenizer, end]
+
+
 def _writing(folder: str, tokenizer: str, end: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -285,9 +324,9 @@ def _writing(folder: str, tokenizer: str, end: int) -> Callable:
         shard = TaskContext.get().partitionId()
         encoder = writer = file = None
         for batch in batches:
-            for part in textgrams.slabs(batch, "__text"):
+            for part in textgrams.slabs(batch, "__text", 4 << 20):
                 if writer is None:
-                    encoder = Encoder(tokenizer, end)
+                    encoder = _encoder(tokenizer, end)
                     fs, base = pyarrow.fs.FileSystem.from_uri(folder)
                     fs.create_dir(base)
                     name = f"{shard:06d}-{uuid.uuid4().hex}.sst"
