@@ -148,7 +148,7 @@ def has_gram(first: np.ndarray, k: int) -> np.ndarray:
     return left >= k
 
 
-def slabs(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slabs(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most`` bytes of text at most, or of one row."""
     i = batch.schema.get_field_index(text)
     column = batch.column(i)
@@ -159,3 +159,4 @@ def slabs(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(column)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task would keep it
