@@ -119,8 +119,13 @@ def _by_shuffle(docs: DataFrame, grams: DataFrame, text: str) -> DataFrame:
     docs = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     lengths = [x[0] for x in grams.select("length").distinct().collect()]
     texts = docs.select("__key", words(F.col(text)).alias("ws"))
-    each = F.concat(*[F.when(F.size("ws") >= k, F.transform(F.sequence(F.lit(1), F.size("ws") - k + 1), lambda i, k=k: F.struct((i - 1).alias("start"), F.lit(k).alias("length"), F.sha2(F.array_join(F.slice("ws", i, k), " "), 256).alias("digest")))).otherwise(F.array().cast("array<struct<start:int,length:int,digest:string>>")) for k in lengths])
-    windows = texts.select("__key", F.explode(each).alias("w")).select("__key", "w.*").distinct()
+
+    def each(k: int) -> Column:
+        at = F.transform(F.sequence(F.lit(1), F.size("ws") - k + 1), lambda i: F.struct((i - 1).alias("start"), F.lit(k).alias("length"), F.sha2(F.array_join(F.slice("ws", i, k), " "), 256).alias("digest")))
+        return F.when(F.size("ws") >= k, at).otherwise(F.array().cast("array<struct<start:int,length:int,digest:string>>"))
+
+    every = F.concat(F.array().cast("array<struct<start:int,length:int,digest:string>>"), *[each(k) for k in lengths])
+    windows = texts.select("__key", F.explode(every).alias("w")).select("__key", "w.*").distinct()
     met = windows.join(grams.select("length", F.sha2("words", 256).alias("digest"), "items"), ["length", "digest"])
     hits = met.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("start", "length", "items"))).cast(_HIT).alias("hits"))
     out = docs.withColumn("n_words", F.size(words(F.col(text))).cast("bigint")).join(hits, "__key", "left").drop("__key")

@@ -62,29 +62,30 @@ def likeness(a: Column, b: Column) -> Column:
 def successors(keys: DataFrame, key: str, base: int = 4096) -> DataFrame:
     """Each of the distinct integers ``key`` with the next larger one as ``next`` (the last: null).
 
-    Keys are dealt into runs of ``base`` values, so that no task sorts more than ``base`` of them; the
+    Keys are dealt into runs of ``base`` (a power of two) values, so that no task sorts more than ``base`` of them; the
     last of a run takes the first key of the next run that has any, found the same way.
     """
     lo, hi = keys.agg(F.min(key), F.max(key)).first()
-    runs = keys.withColumn("__run", F.floor(F.col(key) / F.lit(base)))
-    ahead = F.lead(key).over(Window.partitionBy("__run").orderBy(key))
-    if lo is None or lo // base == hi // base:
-        return runs.withColumn("next", ahead).drop("__run")
-    firsts = runs.groupBy("__run").agg(F.min(key).alias("__first"))
-    after = successors(firsts.select("__run"), "__run", base).join(firsts.select(F.col("__run").alias("next"), F.col("__first").alias("__then")), "next", "left").select("__run", "__then")
-    return runs.withColumn("__in", ahead).join(after, "__run", "left").select(key, F.coalesce("__in", "__then").alias("next"))
+    if lo is None or hi - lo < base:
+        return keys.withColumn("next", F.lead(key).over(Window.orderBy(key)))
+    run = f"{key}_run"
+    runs = keys.withColumn(run, F.shiftright(key, base.bit_length() - 1))
+    ahead = F.lead(key).over(Window.partitionBy(run).orderBy(key))
+    firsts = runs.groupBy(run).agg(F.min(key).alias("first"))
+    after = successors(firsts.select(run), run, base).join(firsts.select(F.col(run).alias("next"), F.col("first").alias("then")), "next", "left").select(run, "then")
+    return runs.withColumn("in", ahead).join(after, run, "left").select(key, F.coalesce("in", "then").alias("next"))
 
 
 def op5_winnowing(spark, sf_dir: str, block: int = 256) -> DataFrame:
     """Fingerprints of every text of documents, of its edited text, and their likeness.
 
-    The next document is found inside blocks of ``block`` consecutive ids, one task sorting such a block;
+    The next document is found inside blocks of ``block`` (a power of two) consecutive ids, one task sorting such a block;
     the first document of each block also goes to the block before. Rows that share a doc_id follow one
     another in order of text; those without one come first. Texts are shuffled once.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     low = docs.agg(F.min("doc_id")).first()[0]
-    at = F.coalesce(F.floor(F.col("doc_id") / F.lit(block)), F.lit((low or 0) // block - 1))
+    at = F.coalesce(F.shiftright("doc_id", block.bit_length() - 1), F.lit((low or 0) // block - 1))
     docs = docs.withColumn("blk", at.cast("bigint"))
     blocks = successors(docs.select("blk").distinct(), "blk")
     first = docs.agg(F.min("blk")).first()[0]
