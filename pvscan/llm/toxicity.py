@@ -1,8 +1,9 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse word features.
 
 ``P(grade <= k) = sigmoid(theta_k - w.x)``: one weight for each feature, shared by all ordered
-thresholds theta. Features are the distinct words of a text (ASCII letters lower-cased), by hash. The model is
-fitted on a bounded sample of labelled rows and then scores every text; the expected grade is its severity.
+thresholds theta. Features are the distinct words of a text (ASCII letters lower-cased) and their beginnings, by hash.
+The model is fitted on a bounded sample of labelled rows, with the features that go with the grade in it, and
+then scores every text; the expected grade is its severity.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from pvscan.llm import textgrams
 
 #: Labelled rows that the model is fitted on at most: those of the least seeded hash.
-SAMPLE = 10_000
-#: Features kept at most: those in the most sample texts.
-FEATURES = 100_000
+SAMPLE = 20_000
+#: Features kept at most, and how many standard errors the mean grade of their texts is off at least.
+FEATURES, ERRORS = 50_000, 3.5
+#: Bytes of the word beginnings that are features beside whole words.
+BEGINNINGS = (5, 6, 8, 10)
 
 
 @dataclass(frozen=True)
@@ -33,18 +36,30 @@ class Model:
     grades: int
 
 
-def distinct_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature hash) pairs, each once."""
+def distinct_features(column: pa.Array, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(document, feature hash) pairs, each once; ``among``: only these sorted features, by their place in it."""
     w = textgrams.words(column, textgrams.ALNUM)
-    doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-    order = np.lexsort((w.hash, doc))
-    doc, feature = doc[order], w.hash[order]
+    of = np.repeat(np.arange(len(w.first) - 1, dtype=np.int32), np.diff(w.first))
+    docs, features = [], []
+    for size in (None, *BEGINNINGS):
+        own = np.ones(len(of), bool) if size is None else w.end - w.start > size
+        feature = w.hash if size is None else textgrams.mix(textgrams.span_hashes(w.raw, w.start[own], w.start[own] + size) + np.uint64(size))
+        doc = of[own]
+        if among is not None:
+            at = np.minimum(np.searchsorted(among, feature), len(among) - 1)
+            known = among[at] == feature
+            doc, feature = doc[known], at[known]
+        docs.append(doc)
+        features.append(feature)
+    doc, feature = np.concatenate(docs), np.concatenate(features)
+    order = np.lexsort((feature, doc))
+    doc, feature = doc[order], feature[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (feature[1:] != feature[:-1])
     return doc[new], feature[new]
 
 
-def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, grades: int, least: int = 3, most: int = FEATURES, l2: float = 1.0, steps: int = 300, rate: float = 0.1) -> Model:
+def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, grades: int, least: int = 3, most: int = FEATURES, l2: float = 0.3, steps: int = 400, rate: float = 0.1) -> Model:
     """Penalised maximum likelihood by Adam on all rows; ``doc`` and ``feature`` are pairs, ``grade`` is by document.
 
     Features in fewer than ``least`` documents are left out. With fewer than two grades, or no rows, nothing is fitted.
@@ -92,12 +107,10 @@ def severities(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n = len(column)
     if model.grades < 2:
         return np.zeros(n), np.zeros(n, np.int32)
-    doc, feature = distinct_features(column)
     score = np.zeros(n)
     if len(model.features):
-        at = np.minimum(np.searchsorted(model.features, feature), len(model.features) - 1)
-        hit = model.features[at] == feature
-        score = np.bincount(doc[hit], model.weights[at[hit]], n)
+        doc, at = distinct_features(column, model.features)
+        score = np.bincount(doc, model.weights[at], n)
     below = 1 / (1 + np.exp(-np.clip(model.thresholds[None, :] - score[:, None], -40, 40)))
     prob = np.diff(np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], 1), axis=1)
     return (1 - below).sum(1), prob.argmax(1).astype(np.int32)
@@ -111,22 +124,36 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
     """
     own = labels.where(F.col(identifier).isNotNull() & (F.col(grade) >= 0)).groupBy(F.col(identifier).alias("__id")).agg(F.max(grade).cast("int").alias("__grade"))
     own = own.orderBy(F.xxhash64(F.lit(seed), "__id"), "__id").limit(sample)
-    met = docs.select(F.col(identifier).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(own), "__id").select("__id", "__grade", "__text")
+    met = docs.select(F.col(identifier).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(own), "__id").select("__grade", "__text")
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in textgrams.slabs(batch, "__text"):
+                doc, feature = distinct_features(part.column(1))
+                grades = part.column(0).to_numpy().astype(float)
+                name, code = np.unique(feature, return_inverse=True)
+                yield pa.RecordBatch.from_pydict({"feature": name.view(np.int64), "n": np.bincount(code, minlength=len(name)), "s": np.bincount(code, grades[doc], len(name))})
+
+    m = met.agg(F.count("*").alias("n"), F.avg("__grade").alias("mean"), F.var_pop("__grade").alias("variance"), F.max("__grade").alias("top")).first()
+    if not m["n"] or not m["top"] or not m["variance"]:
+        return fit_ordinal(np.empty(0, int), np.empty(0, np.uint64), np.zeros(m["n"], int), (m["top"] or 0) + 1 if m["top"] and not m["variance"] else 1)
+    counts = met.mapInArrow(tally, "feature long, n long, s double").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).where("n >= 3")
+    off = (F.col("s") - m["mean"] * F.col("n")) / F.sqrt(m["variance"] * F.col("n"))
+    listed = counts.withColumn("off", F.abs(off)).where(F.col("off") >= ERRORS).orderBy(F.desc("off"), "feature").limit(FEATURES).toPandas()
+    chosen = np.sort(listed.feature.to_numpy(np.int64).view(np.uint64))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textgrams.slabs(batch, "__text"):
-                doc, feature = distinct_features(part.column(2))
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(part) + 1)), pa.int32()), pa.array(feature.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(1), lists], ["id", "grade", "features"])
-
-    rows = met.mapInArrow(features, "id string, grade int, features array<long>").toArrow().combine_chunks()
-    if not rows.num_rows:
-        return fit_ordinal(np.empty(0, int), np.empty(0, np.uint64), np.empty(0, int), 0)
-    lists = rows.column(2).combine_chunks()
-    rows_grade = rows.column(1).to_numpy().astype(int)
+                doc, at = distinct_features(part.column(1), chosen) if len(chosen) else (np.empty(0, int), np.empty(0, int))
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(part) + 1)), pa.int32()), pa.array(at, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["grade", "features"])
+
+    rows = met.mapInArrow(features, "grade int, features array<int>").toArrow().combine_chunks()
+    lists = rows.column(1).combine_chunks()
+    grades = rows.column(0).to_numpy().astype(int)
     doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    return fit_ordinal(doc, lists.values.to_numpy().view(np.uint64), rows_grade, int(rows_grade.max()) + 1)
+    return fit_ordinal(doc, chosen[lists.values.to_numpy()], grades, int(grades.max()) + 1)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
