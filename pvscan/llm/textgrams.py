@@ -8,6 +8,7 @@ word limits count ("ab c" and "a bc" differ).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -16,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 U = np.uint64
+_LIBC = ctypes.CDLL(None)
 #: Bytes of text that are hashed at once; a longer word makes its own, larger piece.
 PIECE = 1 << 20
 
@@ -130,16 +132,6 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
         return mix(out ^ U(k))
 
 
-def whole_hashes(w: Words) -> np.ndarray:
-    """One hash for each document's whole sequence of words."""
-    n = np.diff(w.first)
-    out = np.zeros(len(n), U)
-    with np.errstate(over="ignore"):
-        for d in range(len(n)):
-            out[d] = rolled(w.hash[w.first[d] : w.first[d + 1]], int(n[d]))[0] if n[d] else 0
-    return out
-
-
 def has_gram(first: np.ndarray, k: int) -> np.ndarray:
     """For each word, whether k words of its document begin there."""
     n = np.diff(first)
@@ -148,6 +140,13 @@ def has_gram(first: np.ndarray, k: int) -> np.ndarray:
     return left >= k
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system; a worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def slabs(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most`` bytes of text at most, or of one row."""
     i = batch.schema.get_field_index(text)
@@ -159,4 +158,4 @@ def slabs(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(column)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
-    pa.default_memory_pool().release_unused()  # a worker that waits for its next task would keep it
+    _give_back()

@@ -120,7 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
     """Fits on at most ``sample`` labelled documents.
 
     Labels with a null id or grade, or a negative grade, are ignored; of several labels of a document the highest
-    counts. Grades are 0 to the highest in the sample.
+    counts. Grades are 0 to the highest in the sample. With fewer than two different grades nothing is fitted,
+    and every text gets 0.
     """
     own = labels.where(F.col(identifier).isNotNull() & (F.col(grade) >= 0)).groupBy(F.col(identifier).alias("__id")).agg(F.max(grade).cast("int").alias("__grade"))
     own = own.orderBy(F.xxhash64(F.lit(seed), "__id"), "__id").limit(sample)
@@ -135,8 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
                 yield pa.RecordBatch.from_pydict({"feature": name.view(np.int64), "n": np.bincount(code, minlength=len(name)), "s": np.bincount(code, grades[doc], len(name))})
 
     m = met.agg(F.count("*").alias("n"), F.avg("__grade").alias("mean"), F.var_pop("__grade").alias("variance"), F.max("__grade").alias("top")).first()
-    if not m["n"] or not m["top"] or not m["variance"]:
-        return fit_ordinal(np.empty(0, int), np.empty(0, np.uint64), np.zeros(m["n"], int), (m["top"] or 0) + 1 if m["top"] and not m["variance"] else 1)
+    if not m["variance"]:
+        return fit_ordinal(np.empty(0, int), np.empty(0, np.uint64), np.empty(0, int), 0)
     counts = met.mapInArrow(tally, "feature long, n long, s double").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).where("n >= 3")
     off = (F.col("s") - m["mean"] * F.col("n")) / F.sqrt(m["variance"] * F.col("n"))
     listed = counts.withColumn("off", F.abs(off)).where(F.col("off") >= ERRORS).orderBy(F.desc("off"), "feature").limit(FEATURES).toPandas()
@@ -156,24 +157,25 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
     return fit_ordinal(doc, chosen[lists.values.to_numpy()], grades, int(grades.max()) + 1)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with severity (expected grade) and grade (most probable).
+def score(docs: DataFrame, model: Model, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or those of its columns that are named) with severity (expected grade) and grade (most probable).
 
     Null and empty texts have no features and get the thresholds' own prediction. Columns named severity or
     grade are replaced, others pass through. Repeated rows get equal scores. A model without grades gives 0.
     """
     docs = docs.drop("severity", "grade")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
-    schema = StructType([*docs.schema.fields, StructField("severity", DoubleType()), StructField("grade", IntegerType())])
-    return docs.mapInArrow(_scoring(shared, text), schema)
+    kept = docs.columns if columns is None else columns
+    schema = StructType([*(docs.schema[c] for c in kept), StructField("severity", DoubleType()), StructField("grade", IntegerType())])
+    return docs.mapInArrow(_scoring(shared, text, kept), schema)
 
 
-def _scoring(shared, text: str) -> Callable:
+def _scoring(shared, text: str, kept: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textgrams.slabs(batch, text):
                 severity, grade = severities(shared.value, part.column(part.schema.get_field_index(text)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(severity), pa.array(grade)], [*part.schema.names, "severity", "grade"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(severity), pa.array(grade)], [*kept, "severity", "grade"])
 
     return run
 
@@ -186,4 +188,4 @@ def is_toxic(severity, at: float = 0.5):
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, model).select("doc_id", "severity", "grade", is_toxic(F.col("severity")).alias("toxic"))
+    return score(docs, model, columns=["doc_id"]).select("doc_id", "severity", "grade", is_toxic(F.col("severity")).alias("toxic"))
