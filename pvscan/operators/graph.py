@@ -30,5 +30,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _kept(pairs: DataFrame) -> tuple[DataFrame, tuple]:
-    table = written(pairs, "edges")
+    table = written(pairs.hint("rebalance"), "edges")  # files of even size, however small a round's table is
     return table, tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
