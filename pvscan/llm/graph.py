@@ -1,33 +1,5 @@
-"""Connected components of an edge table by alternating large-star and small-star steps."""
+"""Connected components, as the engine computes them."""
 
-from __future__ import annotations
+from pvscan.operators.graph import components
 
-from pyspark.sql import DataFrame, functions as F
-
-from pvscan.scratch import written
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node`` and ``root`` (the least node reachable) for every node of an edge; loops and repeats don't matter.
-
-    Each round is one table in the shared folder, so a lost executor repeats one round at most. Rounds grow with
-    the logarithm of a component's size. A node with very many edges is met in joins that Spark splits.
-    """
-    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    now, sign = _kept(pairs)
-    while True:
-        both = now.union(now.select("v", "u")).toDF("node", "near")
-        least = both.groupBy("node").agg(F.min("near").alias("m")).select("node", F.least("node", "m").alias("m"))
-        large = both.where("near > node").join(least, "node").select(F.col("near").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        met = large.join(lowest, "u")
-        small = met.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        now, after = _kept(small)
-        if after == sign:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
-        sign = after
-
-
-def _kept(pairs: DataFrame) -> tuple[DataFrame, tuple]:
-    table = written(pairs, "edges")
-    return table, tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+__all__ = ["components"]
