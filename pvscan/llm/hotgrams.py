@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Grams counted together in a task, grams listed at most (those that occur most), and how often a listed one occurs at least.
-TOGETHER, MOST, LEAST = 4_000_000, 1 << 19, 32
+TOGETHER, MOST, LEAST = 2_000_000, 1 << 19, 32
 
 
 def hot_grams(docs: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[dict[str, np.ndarray]]], kinds: list[str], least: int = LEAST, most: int = MOST, counted: bool = False) -> dict:
