@@ -126,7 +126,7 @@ def gram_hashes(w: Words, k: int) -> np.ndarray:
 def rolled(h: np.ndarray, k: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.zeros(len(h), U)
-        for j in range(k):
+        for j in range(min(k, len(h))):
             out *= U(0xD1342543DE82EF95)
             out[: len(h) - j] += h[j:] if j else h
         return mix(out ^ U(k))

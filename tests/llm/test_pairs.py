@@ -4,8 +4,9 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pvscan.llm import jaccard, substrings
+from pvscan.llm import jaccard, substrings, textgrams
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -119,3 +120,24 @@ def test_repeats_keep_columns(docs, no_docs):
     out = substrings.remove_repeats(clash)
     assert out.columns == ["doc_id", "text", "lang", "source", "doc", "hash", "n_words", "n_removed", "repeats", "kept_text"]
     assert out.count() == docs.count()
+
+
+@pytest.mark.parametrize("k", [1, 5, 13])
+def test_grams_of_few_words(k):
+    w = textgrams.words(pa.array([" ".join(f"w{i}" for i in range(30))]))
+    whole = textgrams.gram_hashes(w, k)
+    for n in range(15):
+        got = textgrams.gram_hashes(textgrams.words(pa.array([" ".join(f"w{i}" for i in range(n))])), k)
+        fit = max(0, n - k + 1)
+        assert len(got) == n and (got[:fit] == whole[:fit]).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 11, 12, 13])
+def test_tables_of_one_short_text(spark, n):
+    rows = [(7, " ".join(f"w{i}" for i in range(n)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    near = [tuple(r) for r in jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()]
+    assert near == brute_components(rows)
+    assert [tuple(r) for r in jaccard.keep_one(docs).select("doc_id", "text").collect()] == rows
+    out = substrings.remove_repeats(docs).collect()
+    assert [(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out] == [(7, n, 0, rows[0][1])]
