@@ -2,8 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pvscan import testbed
 from pvscan.operators import curation, labels, raster, spatial
 from pvscan.operators.graph import components
+from pvscan.plans import queries
 from pyspark.sql import functions as F
 
 
@@ -157,3 +159,37 @@ def test_jitter_and_augmentation():
     a, b = curation.augmented(image, image[0], rng)
     assert sorted(a[0].ravel()) == list(range(16)) and (a[0] == b).all()
     assert curation.stride(64, 0.5) == 32 and curation.stride(1, 0.1) == 1
+
+
+def test_labels_on_every_order_like_brute_force(spark, monkeypatch):
+    """The label queries with v_solar_dense laid out from all orders: five times as dense as the table itself."""
+    columns, _, inner = testbed._TABLES["v_solar_dense"]
+    monkeypatch.setitem(testbed._TABLES, "v_solar_dense", (columns, "orders", inner))
+    sf = "/root/testdata/sf0.001"
+    solar = sorted(tuple(r) for r in testbed.table(spark, sf, "v_solar_dense").select("osm_id", *spatial.BOX).collect())
+    buildings = [tuple(r) for r in testbed.table(spark, sf, "v_buildings").select("building_id", *spatial.BOX).collect()]
+    assert len(solar) == spark.read.parquet(f"{sf}/orders.parquet").count()
+    on = {s[0]: min((b[0] for b in buildings if s[1] <= b[3] and b[1] <= s[3] and s[2] <= b[4] and b[2] <= s[4]), default=None) for s in solar}
+    loose = [s for s in solar if on[s[0]] is None]
+    root = {s[0]: s[0] for s in loose}
+    for i, a in enumerate(loose):
+        for b in loose[:i]:
+            w, h = min(a[3], b[3]) - max(a[1], b[1]), min(a[4], b[4]) - max(a[2], b[2])
+            if min(w, h) >= 0 and max(w, h) > 0 and root[a[0]] != root[b[0]]:
+                old, new = sorted((root[a[0]], root[b[0]]))[::-1]
+                root = {k: new if v == old else v for k, v in root.items()}
+    group = {k: f"c{root[k]}" if b is None else f"b{b}" for k, b in on.items()}
+    got = queries.label_groups(spark, sf).collect()
+    assert sorted((r.osm_id, r.building, r.group) for r in got) == [(s[0], on[s[0]], group[s[0]]) for s in solar]
+    want = {}
+    for g in set(group.values()):
+        own = [s for s in solar if group[s[0]] == g]
+        x0, y0 = min(s[1] for s in own), min(s[2] for s in own)
+        cells = np.zeros((max(s[3] for s in own) - x0, max(s[4] for s in own) - y0), bool)
+        for _, x1, y1, x2, y2 in own:
+            cells[x1 - x0 : x2 - x0, y1 - y0 : y2 - y0] = True
+        tag = any(s[0] % 7 == 0 for s in own)
+        if cells.sum() >= 1000 and (g[0] == "b" or tag):
+            want[g] = (own[0][0], tag, g[0] == "b", len(own), float(cells.sum()))
+    got = {r["group"]: (r.osm_id, r.has_roof_tag, r.on_building, r.n, r.area_m2) for r in queries.build_labels(spark, sf).collect()}
+    assert got == want
