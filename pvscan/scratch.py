@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,7 +41,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned and that no later plan reads."""
+    for table in tables:
+        path = getattr(table, "_scratch", None)
+        if path:
+            remove(table.sparkSession, path)
+            _WRITTEN[:] = [x for x in _WRITTEN if x[1] != path]
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -57,3 +69,5 @@ def _clean() -> None:
             remove(spark, path)
         except Exception:  # the session may be gone already
             pass
+    for folder in _OWN.values():
+        shutil.rmtree(folder.removeprefix("file://"), ignore_errors=True)

@@ -39,10 +39,12 @@ def test_anti_and_empty_sides(spark):
     assert spatial.marked(a, b.limit(0), "id", "hit").where("hit").count() == 0
 
 
-def test_components_like_search(spark):
+@pytest.mark.parametrize("local", [1 << 20, 30])
+def test_components_like_search(spark, local):
     rnd = random.Random(7)
-    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)] + [(2000, k) for k in range(2001, 2060)] + [(5, 5), (None, 3)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), local=local).collect()}
+    edges.remove((None, 3))
     near = {}
     for a, b in edges:
         if a != b:
