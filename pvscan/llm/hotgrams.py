@@ -13,8 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from pvscan.scratch import discard, written
+
 #: Grams counted together in a task, grams listed at most (those that occur most), and how often a listed one occurs at least.
 TOGETHER, MOST, LEAST = 2_000_000, 1 << 19, 32
+#: Counts below this have a histogram step of their own; steps double beyond it.
+_EXACT = 1024
 
 
 def hot_grams(docs: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[dict[str, np.ndarray]]], kinds: list[str], least: int = LEAST, most: int = MOST, counted: bool = False) -> dict:
@@ -40,13 +44,24 @@ def hot_grams(docs: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[dict[s
                 yield from flush(kind, parts)
 
     counts = docs.mapInArrow(run, "kind string, hash long, n long").groupBy("kind", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counts = written(counts, "grams")
+    # the least count at which the list has room for all, from a histogram of bounded size
+    steps = F.when(F.col("n") < _EXACT, F.col("n")).otherwise(F.lit(_EXACT) * F.pow(F.lit(2.0), F.floor(F.log2(F.col("n") / _EXACT))).cast("long"))
+    found, left = least, most
+    for at, n in sorted(((r[0], r[1]) for r in counts.groupBy(steps.alias("at")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        left -= n
+        if left < 0:
+            found = at + 1 if at < _EXACT else 2 * at
+            break
+    rows = counts.where(F.col("n") >= found).toArrow()
+    discard(counts)
+    names, hashes, n = (rows.column(i).to_numpy() for i in range(3))
     out = {}
-    rows = counts.orderBy(F.desc("n"), "hash").limit(most).toPandas()
     for kind in kinds:
-        own = rows[rows.kind == kind]
-        name, n = own.hash.to_numpy().view(np.uint64), own.n.to_numpy(np.int64)
+        own = names == kind
+        name = hashes[own].view(np.uint64)
         order = np.argsort(name)
-        out[kind] = (name[order], n[order]) if counted else name[order]
+        out[kind] = (name[order], n[own][order]) if counted else name[order]
     return out
 
 

@@ -191,9 +191,9 @@ class Encoder:
 
     A byte-level BPE without normaliser never joins the characters on both sides of a single space or
     line feed between two other characters, nor a letter and a mark of punctuation after it: texts are cut
-    there, distinct pieces are encoded once and
-    kept (up to ``most`` of them, told apart by a 64-bit hash and length). Texts that hold an added token's string,
-    and all texts for other kinds of tokenizer, are encoded whole.
+    there, distinct pieces are encoded once and kept (up to ``most`` of them). A piece is found by its hash and
+    then compared byte by byte; long pieces, and such whose bytes differ from the kept ones, are encoded where
+    they stand. Texts that hold an added token's string, and all texts for other kinds of tokenizer, are encoded whole.
     """
 
     def __init__(self, path: str, end: int, most: int = 3_000_000) -> None:
@@ -210,9 +210,11 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Known pieces: their hashes, sorted, and where in ``pool`` their ids are; some twenty bytes each."""
-        self.known, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        """Known pieces: their hashes, sorted, where in ``pool`` their ids are and in ``text`` their bytes; some 35 bytes each."""
+        self.known = np.empty(0, np.uint64)
+        self.at, self.size, self.begin, self.length = (np.empty(0, t) for t in (np.int32, np.int32, np.int32, np.uint8))
         self.pool, self.filled = np.empty(1 << 16, self.kind), 0
+        self.text, self.used = np.empty(1 << 18, np.uint8), 0
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has."""
@@ -220,16 +222,21 @@ class Encoder:
         sizes = np.fromiter(map(len, lists), np.int32, len(lists))
         return np.fromiter(itertools.chain.from_iterable(lists), self.kind, int(sizes.sum())), sizes
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        ids, sizes = self._encode(texts)
-        while self.filled + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.pool[self.filled : self.filled + len(ids)] = ids
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+        ids, sizes = self._encode([x.decode() for x in texts])
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        lengths = np.fromiter(map(len, texts), np.uint8, len(texts))
+        self.pool = _grown(self.pool, self.filled, ids)
+        self.text = _grown(self.text, self.used, raw)
         at = self.filled + np.cumsum(sizes, dtype=np.int64) - sizes
+        begin = self.used + np.cumsum(lengths, dtype=np.int64) - lengths
         self.filled += len(ids)
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known, self.at, self.size = known[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, sizes])[order]
+        self.used += len(raw)
+        order = np.argsort(np.concatenate([self.known, hashes]), kind="stable")
+        self.known = np.concatenate([self.known, hashes])[order]
+        for name, new in (("at", at), ("size", sizes), ("begin", begin), ("length", lengths)):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, new.astype(old.dtype)])[order])
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text and the end id."""
@@ -246,23 +253,8 @@ class Encoder:
             whole[:] = True
         starts = self._starts(raw, offsets)
         ends = np.append(starts[1:], len(raw)) if len(starts) else starts
-        hashes = textgrams.span_hashes(raw, starts, ends) ^ (ends - starts).astype(np.uint64)
-        codes, distinct = pd.factorize(hashes)
-        where = np.empty(len(distinct), np.int64)
-        where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        if len(self.known) > self.most:
-            self._forget()
-        if self.cuts and len(distinct):
-            new = np.flatnonzero(~among(self.known, distinct))
-            if len(new):
-                self._learn(distinct[new], [data[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
-            slot = np.searchsorted(self.known, distinct)[codes]
-            at, each = self.at[slot], self.size[slot].astype(np.int64)
-        else:
-            at = each = np.zeros(len(codes), np.int64)
-        begin = np.cumsum(each) - each
-        ids = self.pool[np.repeat(at - begin, each) + np.arange(int(each.sum()))]
-        edge = np.append(begin, int(each.sum()))[np.searchsorted(starts, offsets)]
+        ids, each = self._pieces(raw, data, starts, ends) if self.cuts else (tail[:0], np.zeros(len(starts), np.int64))
+        edge = np.concatenate([[0], np.cumsum(each)])[np.searchsorted(starts, offsets)]
         for d in range(len(offsets) - 1):
             if whole[d]:
                 own = self._encode([data[offsets[d] : offsets[d + 1]].decode()])[0]
@@ -270,6 +262,36 @@ class Encoder:
                 own = ids[edge[d] : edge[d + 1]]
             yield np.concatenate([own, tail])
 
+    def _pieces(self, raw: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after another, and how many each has."""
+        sizes = (ends - starts).astype(np.int64)
+        short = np.flatnonzero(sizes <= textgrams.LONG)
+        hashes = textgrams.span_hashes(raw, starts[short], ends[short])
+        codes, distinct = pd.factorize(hashes)
+        where = np.empty(len(distinct), np.int64)
+        where[codes[::-1]] = short[::-1]
+        if len(self.known) > self.most:
+            self._forget()
+        new = np.flatnonzero(~among(self.known, distinct))
+        if len(new):
+            at = where[new]
+            self._learn(distinct[new], [data[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        slot = np.searchsorted(self.known, distinct)[codes]
+        same = self.length[slot] == sizes[short]
+        same &= textgrams.same_spans(raw, starts[short], self.text, self.begin[slot].astype(np.int64), np.where(same, sizes[short], 0))
+        at, each = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        at[short[same]], each[short[same]] = self.at[slot[same]], self.size[slot[same]]
+        pool = self.pool
+        alone = np.ones(len(starts), bool)
+        alone[short[same]] = False
+        alone = np.flatnonzero(alone)
+        if len(alone):
+            own, n = self._encode([data[s:e].decode() for s, e in zip(starts[alone].tolist(), ends[alone].tolist(), strict=True)])
+            at[alone], each[alone] = self.filled + np.cumsum(n) - n, n
+            pool = np.concatenate([pool[: self.filled], own])
+        begin = np.cumsum(each) - each
+        return pool[np.repeat(at - begin, each) + np.arange(int(each.sum()))], each
+
     @staticmethod
     def _starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where pieces begin: at each text, and around single spaces and line feeds between characters that are surely not white space."""
@@ -291,6 +313,14 @@ class Encoder:
         return np.flatnonzero(flag[:n])
 
 
+def _grown(pool: np.ndarray, filled: int, more: np.ndarray) -> np.ndarray:
+    """``pool`` with ``more`` after its first ``filled`` values, doubled as needed."""
+    while filled + len(more) > len(pool):
+        pool = np.concatenate([pool, np.empty_like(pool)])
+    pool[filled : filled + len(more)] = more
+    return pool
+
+
 _GRAPHIC = np.zeros(256, bool)
 _GRAPHIC[0x21:0x7F] = True
 _LETTER = np.zeros(256, bool)

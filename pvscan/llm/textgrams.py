@@ -1,14 +1,15 @@
 """Words and word n-gram hashes of many texts at once, with numpy on their UTF-8 bytes.
 
 Texts stay in Arrow's buffers; words are runs of bytes of one class, so that splitting needs no
-Python object per word. A word's hash is a polynomial over its bytes modulo 2**64, taken from
-prefix sums, then mixed; a gram's hash is a second polynomial over its words' hashes, so that
-word limits count ("ab c" and "a bc" differ).
+Python object per word. A gram's hash is a polynomial over its words' hashes, so that
+word limits count ("ab c" and "a bc" differ). Where equality is final, two hashes of different seeds
+are taken (128 bits) or the bytes are compared.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,8 +19,6 @@ import pyarrow.compute  # noqa: F401
 
 U = np.uint64
 _LIBC = ctypes.CDLL(None)
-#: Bytes of text that are hashed at once; a longer word makes its own, larger piece.
-PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,9 +29,10 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U(31))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
-_POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
+#: Spans of more bytes than this are hashed one at a time, by blake2b.
+LONG = 64
+#: Keeps the first k bytes of a little-endian lane of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(9, 14)]] = True
@@ -44,16 +44,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    while len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            have = _POWERS[i]
-            with np.errstate(over="ignore"):
-                _POWERS[i] = np.concatenate([have, have * U(pow(base, len(have), 1 << 64))])
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, one after another, and where each begins (nulls are empty)."""
     if isinstance(column, pa.ChunkedArray):
@@ -69,24 +59,51 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span; spans are in order and don't overlap."""
-    out = np.empty(len(starts), U)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        power, inverse = _powers(hi - lo + 1)
-        with np.errstate(over="ignore"):
-            sums = np.empty(hi - lo + 1, U)
-            sums[0] = 0
-            np.cumsum(_BYTE[raw[lo:hi]] * power[: hi - lo], out=sums[1:])
-            s, e = starts[i:j] - lo, ends[i:j] - lo
-            out[i:j] = mix((sums[e] - sums[s]) * inverse[s])
-        i = j
+def _lanes(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one integer (zeros beyond the end)."""
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    return np.ndarray(len(raw) + 1, "<u8", padded.data, 0, (1,))
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each byte span; another ``seed`` gives a hash that is independent of it.
+
+    Eight bytes at a time go through a mixer that is not linear, so no two texts of a regular make collide
+    by construction; long spans get a cryptographic hash.
+    """
+    size = (ends - starts).astype(np.int64)
+    with np.errstate(over="ignore"):
+        out = mix(size.astype(U) * U(0x9E3779B97F4A7C15) + U(2 * seed + 1))
+        lanes = _lanes(raw)
+        short = size <= LONG
+        at = np.flatnonzero(short & (size > 0))
+        k = 0
+        while len(at):
+            left = size[at] - k
+            lane = lanes[starts[at] + k] & _FIRST[np.minimum(left, 8)]
+            out[at] = mix((out[at] ^ lane) * U(0xD1342543DE82EF95 + 2 * seed))
+            at = at[left > 8]
+            k += 8
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest(), "little")
     return out
 
 
+def same_spans(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether spans of ``a`` and ``b`` (of equal sizes) have the same bytes."""
+    same = np.ones(len(sizes), bool)
+    left_lanes, right_lanes = _lanes(a), _lanes(b)
+    at, k = np.flatnonzero(sizes > 0), 0
+    while len(at):
+        left = sizes[at] - k
+        same[at] &= (left_lanes[a_starts[at] + k] ^ right_lanes[b_starts[at] + k]) & _FIRST[np.minimum(left, 8)] == 0
+        at = at[left > 8]
+        k += 8
+    return same
+
+
 class Words(NamedTuple):
     """start, end: of each word in ``raw``; first: each document's first word, then the number of words."""
 
@@ -118,12 +135,18 @@ def _split(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> Words:
     return Words(raw, start, end, span_hashes(raw, start, end), np.searchsorted(start, offsets))
 
 
+def second(w: Words) -> Words:
+    """The same words with hashes of another seed."""
+    return w._replace(hash=span_hashes(w.raw, w.start, w.end, 1))
+
+
 def gram_hashes(w: Words, k: int) -> np.ndarray:
     """For each word the hash of the k words from it on; only right where a document has that many."""
     return rolled(w.hash, k)
 
 
 def rolled(h: np.ndarray, k: int) -> np.ndarray:
+    """Of each place the hash of the ``k`` hashes from it on (fewer at the end)."""
     with np.errstate(over="ignore"):
         out = np.zeros(len(h), U)
         for j in range(min(k, len(h))):

@@ -39,7 +39,7 @@ def key(r):
     return tuple((x is None, x) for x in r)
 
 
-@pytest.mark.parametrize("how", [{}, {"most": 200, "block": 2, "least_hot": 2}])
+@pytest.mark.parametrize("how", [{}, {"most": 200, "block": 2, "least_hot": 2}, {"block": 2, "least_hot": 2, "held": 16}])
 def test_near_duplicates_like_brute_force(docs, rows, how):
     got = [tuple(r) for r in jaccard.near_duplicates(docs, **how).select("doc_id", "n_shingles", "component_id").collect()]
     assert sorted(got, key=key) == sorted(brute_components(rows), key=key)
@@ -83,6 +83,41 @@ def test_bound_never_under_the_overlap():
         assert jaccard.bound(*packed) >= len(np.intersect1d(a, b))
 
 
+def thue_morse(letters, n):
+    """Two complementary words on which polynomial hashes modulo a power of two agree."""
+    out = []
+    for flip in (0, 1):
+        out.append("".join(letters[bin(i).count("1") % 2 ^ flip] for i in range(n)))
+    return out
+
+
+def test_words_that_defeat_polynomials(spark):
+    x, y = thue_morse("ab", 2048)
+    assert len(set(textgrams.words(pa.array([f"{x} {y} {x[:48]} {y[:48]}"])).hash.tolist())) == 4
+    rest = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, x), (4, y)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {i: c for i, _, c in brute_components(rows)} and got[4] == 4
+    out = {r.doc_id: r.n_removed for r in substrings.remove_repeats(docs).collect()}
+    assert out == {r[0]: r[2] for r in brute_repeats(rows)}
+
+
+def test_very_many_equal_texts_are_one_class(spark, tmp_path):
+    """The pass over shingles sees one row of the copies, whatever their number."""
+    seen = []
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.range(100_000).selectExpr("id as doc_id", f"'{text}' as text").union(spark.createDataFrame([(-5, text + " end"), (-4, "else " * 9)], "doc_id long, text string"))
+    write = jaccard.written
+    try:
+        jaccard.written = lambda df, name: (seen.append((name, write(df, name).count())), write(df, name))[1]
+        out = jaccard.near_duplicates(docs).groupBy("component_id").count().collect()
+    finally:
+        jaccard.written = write
+    assert {r[0]: r[1] for r in out} == {-5: 100_001, -4: 1}
+    assert dict(seen)["classes"] == 3 and dict(seen)["met"] < 100
+
+
 def brute_repeats(rows):
     starts = {}
     for i, t, *_ in rows:
