@@ -379,7 +379,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, identifier: str =
     that share an identifier (repeated rows too) are all kept, in order of text, in one shard. Other columns are not read, whatever
     their names. No documents: no shards. ``folder`` is a URI that all executors reach.
     """
-    spark = docs.sparkSession
+    spark = textgrams.small_batches(docs.sparkSession)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col(identifier).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     dealt = own.repartitionByRange(n, F.col("__id").asc_nulls_first()).sortWithinPartitions(F.col("__id").asc_nulls_first(), "__text")

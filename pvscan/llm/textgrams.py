@@ -16,6 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.sql import SparkSession
 
 U = np.uint64
 _LIBC = ctypes.CDLL(None)
@@ -163,13 +164,23 @@ def has_gram(first: np.ndarray, k: int) -> np.ndarray:
     return left >= k
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Returns freed memory to the system; a worker that waits for its next task would keep it."""
     pa.default_memory_pool().release_unused()
     if hasattr(_LIBC, "malloc_trim"):
         _LIBC.malloc_trim(0)
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bounds the bytes of an Arrow batch for the session, unless it has a bound of its own: ten thousand rows of long texts are too much at once."""
+    if spark.conf.get(_BYTES) == "67108864b":  # Spark's own
+        spark.conf.set(_BYTES, "4m")
+    return spark
+
+
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def slabs(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most`` bytes of text at most, or of one row."""
     i = batch.schema.get_field_index(text)
@@ -181,4 +192,4 @@ def slabs(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(column)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
-    _give_back()
+    give_back()

@@ -123,6 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
     counts. Grades are 0 to the highest in the sample. With fewer than two different grades nothing is fitted,
     and every text gets 0.
     """
+    textgrams.small_batches(docs.sparkSession)
     own = labels.where(F.col(identifier).isNotNull() & (F.col(grade) >= 0)).groupBy(F.col(identifier).alias("__id")).agg(F.max(grade).cast("int").alias("__grade"))
     own = own.orderBy(F.xxhash64(F.lit(seed), "__id"), "__id").limit(sample)
     met = docs.select(F.col(identifier).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(own), "__id").select("__grade", "__text")
@@ -164,7 +165,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", columns: list[str]
     grade are replaced, others pass through. Repeated rows get equal scores. A model without grades gives 0.
     """
     docs = docs.drop("severity", "grade")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
+    shared = textgrams.small_batches(docs.sparkSession).sparkContext.broadcast(model)  # at most FEATURES weights
     kept = docs.columns if columns is None else columns
     schema = StructType([*(docs.schema[c] for c in kept), StructField("severity", DoubleType()), StructField("grade", IntegerType())])
     return docs.mapInArrow(_scoring(shared, text, kept), schema)
