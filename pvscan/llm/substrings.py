@@ -1,13 +1,17 @@
 """Substring dedup by seed and extend.
 
-Seeds are winnowed anchors: of the five-word grams inside each 13-word window the one with the least
-hash, the rightmost of equal ones. Equal windows have equal anchors, so documents meet by a join on
-anchors; around each shared anchor the match is extended to both sides, to the windows of 13 words that hold it and
-also start in an earlier document. Matches that overlap or touch make maximal repeats, which go.
-
-Windows that very many documents hold (a bounded list, see ``hotgrams``) get their first document from
-one small aggregation and a broadcast, and anchors that very many hold count as shared without a join; so
-neither meets in one task.
+1. Seeds are winnowed anchors: of the five-word grams inside each 13-word window the one with the least
+   hash. Equal windows have equal anchors, so documents that share a window meet in a join on anchors.
+2. Each occurrence of a shared anchor goes, with up to eight words to either side, to the group of its anchor. There
+   the earliest documents that hold one of its windows are looked up, and from the anchor the match with each is
+   extended word by word to both sides, as far as the words agree (by 128 bits each).
+3. Matches of 13 words or more are spans of the later document. Spans of neighbouring anchors that overlap or touch
+   make its maximal repeats, which go.
+
+What very many documents share never meets in one task. Exact copies of a text are found by their digest alone: all
+but the earliest go as a whole and take no part in the groups. Windows that very many documents hold (a bounded list,
+see ``hotgrams``) get their first document from one small aggregation and a broadcast. Anchors that very many hold count
+as shared without a join, and their occurrences are dealt by window instead of by anchor.
 """
 
 from __future__ import annotations
@@ -24,26 +28,33 @@ from pvscan.llm.hotgrams import among, hot_grams
 
 #: Words of a window (the least repeat) and of an anchor.
 LENGTH, SEED = 13, 5
+#: Occurrences of anchors that are held at once, and bytes of text that are cut at once.
+HELD, SLAB = 1 << 17, 1 << 20
+#: The end of a span that covers a whole text.
+_ALL = 1 << 30
 
 
-def _split(column: pa.Array, length: int, seed: int) -> tuple[textgrams.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, window starts, their hashes and their anchors' hashes."""
+def _split(column: pa.Array, length: int, seed: int) -> tuple[textgrams.Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, window starts, their hashes, and the hashes and places of their anchors."""
     w = textgrams.words(column, lower=False)
     at = np.flatnonzero(textgrams.has_gram(w.first, length))
-    return w, at, textgrams.gram_hashes(w, length)[at], _anchors(textgrams.gram_hashes(w, seed), at, length - seed + 1)
+    anchor, place = _anchors(textgrams.gram_hashes(w, seed), at, length - seed + 1)
+    return w, at, textgrams.gram_hashes(w, length)[at], anchor, place
 
 
-def _anchors(grams: np.ndarray, at: np.ndarray, places: int) -> np.ndarray:
-    if not len(at):
-        return np.empty(0, np.uint64)
-    best = grams[at]
+def _anchors(grams: np.ndarray, at: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least gram of each window, the rightmost of equal ones."""
+    best, place = grams[at] if len(at) else np.empty(0, np.uint64), at.copy()
     for j in range(1, places):
-        best = np.minimum(best, grams[at + j])  # the place of equal ones doesn't matter here, the anchor's words do
-    return best
+        other = grams[at + j] if len(at) else best
+        less = other <= best
+        best = np.where(less, other, best)
+        place[less] = at[less] + j
+    return best, place
 
 
 class _Plan:
-    """What every task needs to know; broadcast."""
+    """What every task needs to know; broadcast. Listed windows with their first documents, and listed anchors."""
 
     def __init__(self, length: int, seed: int, windows: np.ndarray, first: np.ndarray, anchors: np.ndarray) -> None:
         self.length, self.seed, self.windows, self.first, self.anchors = length, seed, windows, first, anchors
@@ -63,7 +74,9 @@ def _first_docs(plan) -> Callable:
         first = np.full(len(p.windows), np.iinfo(np.int64).max)
         for batch in batches:
             for part in textgrams.slabs(batch, "text"):
-                w, at, hashes, _ = _split(part.column(1), p.length, p.seed)
+                w = textgrams.words(part.column(1), lower=False)
+                at = np.flatnonzero(textgrams.has_gram(w.first, p.length))
+                hashes = textgrams.gram_hashes(w, p.length)[at]
                 ids, known = _ids(part.column(0))
                 doc = _doc_of(w, at)
                 own = known[doc] & among(p.windows, hashes)
@@ -75,14 +88,11 @@ def _first_docs(plan) -> Callable:
     return run
 
 
-def _open(p: _Plan, part: pa.RecordBatch) -> tuple:
-    """Windows that the list doesn't settle: document, start word within it, hash, anchor."""
-    w, at, hashes, anchors = _split(part.column(1), p.length, p.seed)
+def _open(p: _Plan, w: textgrams.Words, at: np.ndarray, hashes: np.ndarray, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the documents, each window's document, and which windows the list doesn't settle."""
     ids, known = _ids(part.column(0))
     doc = _doc_of(w, at)
-    own = known[doc] & ~among(p.windows, hashes)
-    doc = doc[own]
-    return ids, doc, at[own] - w.first[doc], hashes[own], anchors[own]
+    return ids, doc, known[doc] & ~among(p.windows, hashes)
 
 
 def _seeds(plan) -> Callable:
@@ -90,10 +100,11 @@ def _seeds(plan) -> Callable:
         p = plan.value
         for batch in batches:
             for part in textgrams.slabs(batch, "text"):
-                ids, doc, _, _, anchors = _open(p, part)
-                cold = ~among(p.anchors, anchors)
-                doc, anchors = doc[cold], anchors[cold]
-                order = np.lexsort((anchors, doc)) if len(doc) else np.empty(0, int)
+                w, at, hashes, anchors, _ = _split(part.column(1), p.length, p.seed)
+                ids, doc, own = _open(p, w, at, hashes, part)
+                own &= ~among(p.anchors, anchors)
+                doc, anchors = doc[own], anchors[own]
+                order = np.lexsort((anchors, doc))
                 doc, anchors = doc[order], anchors[order]
                 new = np.ones(len(doc), bool)
                 new[1:] = (doc[1:] != doc[:-1]) | (anchors[1:] != anchors[:-1])
@@ -103,55 +114,159 @@ def _seeds(plan) -> Callable:
     return run
 
 
-def _extended(plan) -> Callable:
-    """Windows around shared anchors: text and document, start word, hash."""
+def _offsets(column: pa.ListArray) -> np.ndarray:
+    """Where each row's values begin in the flat ones; a null list is empty."""
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _occurrences(plan) -> Callable:
+    """Occurrences of shared anchors: group, document, key of its text, first word and words around, and the anchor's place in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = plan.value
+        reach = p.length - p.seed
         for batch in batches:
-            for part in textgrams.slabs(batch, "text"):
-                ids, doc, start, hashes, anchors = _open(p, part)
-                keep = among(p.anchors, anchors)
-                shared = part.column(3)
-                begin, flat = shared.offsets.to_numpy() if len(shared) else np.zeros(1, int), shared.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                has = shared.is_valid().to_numpy(zero_copy_only=False)
+            for part in textgrams.slabs(batch, "text", SLAB):
+                w, at, hashes, anchors, places = _split(part.column(1), p.length, p.seed)
+                ids, doc, own = _open(p, w, at, hashes, part)
+                key = part.column(2).to_numpy()
+                begin, shared = _offsets(part.column(3)), part.column(3).flatten().to_numpy(zero_copy_only=False)
+                copy_at, copies = _offsets(part.column(4)), part.column(4).flatten().to_numpy(zero_copy_only=False)
+                dealt = own & among(p.anchors, anchors)
+                met = np.zeros(len(at), bool)
                 edge = np.searchsorted(doc, np.arange(len(part) + 1))
-                for d in np.flatnonzero(has):
-                    own = slice(edge[d], edge[d + 1])
-                    keep[own] |= among(np.sort(flat[begin[d] : begin[d + 1]]), anchors[own])
-                if keep.any():
-                    key = part.column(2).to_numpy(zero_copy_only=False)
-                    yield pa.RecordBatch.from_pydict({"hash": hashes[keep].view(np.int64), "doc": ids[doc[keep]], "key": key[doc[keep]], "start": start[keep].astype(np.int32)})
+                for d in np.flatnonzero(np.diff(begin) > 0):
+                    mine = slice(edge[d], edge[d + 1])
+                    met[mine] = among(np.sort(shared[begin[d] : begin[d + 1]].view(np.uint64)), anchors[mine])
+                for d in np.flatnonzero(np.diff(copy_at) > 0):
+                    if (copies[copy_at[d] : copy_at[d + 1]] == key[d]).any():  # goes as a whole
+                        met[edge[d] : edge[d + 1]] = dealt[edge[d] : edge[d + 1]] = False
+                met &= own & ~dealt
+                # each place once; neighbouring windows have the same one
+                once = np.flatnonzero(met)
+                once = once[np.concatenate([[True], places[once[1:]] != places[once[:-1]]])] if len(once) else once
+                low = np.maximum(places[once] - reach, w.first[doc[once]])
+                high = np.minimum(places[once] + p.length, w.first[doc[once] + 1])
+                many = np.flatnonzero(dealt)
+                low, high = np.concatenate([low, at[many]]), np.concatenate([high, at[many] + p.length])
+                group = np.concatenate([anchors[once], textgrams.mix(hashes[many])])
+                rows = np.concatenate([once, many])
+                if len(rows):
+                    around = _slices(w.raw, w.start[low], w.end[high - 1])
+                    of = doc[rows]
+                    columns = [group.view(np.int64), ids[of], key[of], (low - w.first[of]).astype(np.int32), (places[rows] - low).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), around], ["group", "doc", "key", "start", "anchor", "around"])
+
+    return run
+
+
+_OCCURRENCE = "group long, doc long, key long, start int, anchor int, around string"
+
+
+def _slices(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    sizes = ends - starts
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(int(at[-1]), dtype=np.int64) + np.repeat(starts - at[:-1], sizes)
+    return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(raw[place])]).cast(pa.string())
+
+
+def _extended(length: int, seed: int, held: int) -> Callable:
+    """Occurrences sorted by group and document: spans of words that an earlier document holds too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            kept.append(batch)
+            rows += len(batch)
+            if rows < held:
+                continue
+            table = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            group = table.column(0).to_numpy()
+            other = np.flatnonzero(group != group[-1])
+            end = int(other[-1]) + 1 if len(other) else 0
+            if end:
+                yield from _matches(table.slice(0, end), length, seed)[0]
+            rest = table.slice(end)
+            if not end:  # one group fills all that is held: of its rows only those that later ones can refer to stay
+                found, first = _matches(rest, length, seed)
+                yield from found
+                rest = rest.take(pa.array(first))
+            kept, rows = [rest], len(rest) if end else 0
+        if kept:
+            yield from _matches(pa.Table.from_batches(kept).combine_chunks().to_batches()[0], length, seed)[0] if sum(map(len, kept)) else []
 
     return run
 
 
-def _removing(plan) -> Callable:
+def _matches(part: pa.RecordBatch, length: int, seed: int) -> tuple[list[pa.RecordBatch], np.ndarray]:
+    """Spans of the later occurrences, and the rows that are the first of one of their windows."""
+    group, doc, key, start, anchor = (part.column(i).to_numpy() for i in range(5))
+    w = textgrams.words(part.column(5), lower=False)
+    v = textgrams.second(w)
+    n = np.diff(w.first)
+    at = np.flatnonzero(textgrams.has_gram(w.first, length))
+    row = np.repeat(np.arange(len(n)), n)[at]
+    one, two = textgrams.gram_hashes(w, length)[at], textgrams.gram_hashes(v, length)[at]
+    place = at - w.first[row] - anchor[row]  # windows are compared where they lie alike around the anchor
+    order = np.lexsort((two, one, place, group[row]))  # stable: of equal windows the earliest document is first
+    new = np.ones(len(order), bool)
+    a, b = order[1:], order[:-1]
+    new[1:] = (group[row[a]] != group[row[b]]) | (place[a] != place[b]) | (one[a] != one[b]) | (two[a] != two[b])
+    leader = row[order[np.flatnonzero(new)]]
+    own, other = row[order], leader[np.cumsum(new) - 1]
+    later = doc[other] < doc[own]
+    pairs = np.unique(own[later] * len(n) + other[later])
+    own, other = pairs // max(len(n), 1), pairs % max(len(n), 1)
+    x, y = w.first[own] + anchor[own], w.first[other] + anchor[other]
+
+    def agree(step: int, room: np.ndarray, alive: np.ndarray) -> np.ndarray:
+        i, j = np.where(room, x + step, 0), np.where(room, y + step, 0)
+        return alive & room & (w.hash[i] == w.hash[j]) & (v.hash[i] == v.hash[j])
+
+    left, right = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+    alive = np.ones(len(own), bool)
+    for step in range(1, length - seed + 1):
+        alive = agree(-step, (anchor[own] >= step) & (anchor[other] >= step), alive)
+        left += alive
+    alive = np.ones(len(own), bool)
+    for step in range(length):
+        alive = agree(step, (anchor[own] + step < n[own]) & (anchor[other] + step < n[other]), alive)
+        right += alive
+    long = left + right >= length
+    own, begin = own[long], (start[own] + anchor[own] - left)[long]
+    end = begin + (left + right)[long]
+    out = pa.RecordBatch.from_pydict({"doc": doc[own], "key": key[own], "start": begin.astype(np.int32), "end": end.astype(np.int32)})
+    return [out] if len(out) else [], np.unique(leader)
+
+
+def _removing(plan, names: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = plan.value
         for batch in batches:
-            for part in textgrams.slabs(batch, "__text"):
-                names = part.schema.names
-                col = lambda c: part.column(names.index(c))  # noqa: B023, E731
-                w, at, hashes, _ = _split(col("__text"), p.length, p.seed)
-                ids, known = _ids(col("__id"))
+            for part in textgrams.slabs(batch, "text", SLAB):
+                w, at, hashes, *_ = _split(part.column(1), p.length, p.seed)
+                ids, known = _ids(part.column(0))
                 doc = _doc_of(w, at)
-                listed = among(p.windows, hashes)
                 gone = np.zeros(len(w.start) + 1, np.int64)
-                own = np.flatnonzero(listed & known[doc])
+                own = np.flatnonzero(among(p.windows, hashes) & known[doc])
                 own = own[p.first[np.searchsorted(p.windows, hashes[own])] < ids[doc[own]]]
-                starts = [at[own]]
-                marks, key = col("__marks"), col("__key").to_numpy(zero_copy_only=False)
-                begin, flat = marks.offsets.to_numpy() if len(marks) else np.zeros(1, int), marks.values
-                mark_key, mark_start = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                for d in np.flatnonzero(marks.is_valid().to_numpy(zero_copy_only=False)):
-                    mine = mark_key[begin[d] : begin[d + 1]] == key[d]
-                    starts.append(mark_start[begin[d] : begin[d + 1]][mine].astype(np.int64) + w.first[d])
-                starts = np.unique(np.concatenate(starts))
-                np.add.at(gone, starts, 1)
-                np.add.at(gone, starts + p.length, -1)
-                cut = np.cumsum(gone[:-1]) > 0
-                yield _kept(part, names, w, cut)
+                starts, ends = [at[own]], [at[own] + p.length]
+                key, marks = part.column(2).to_numpy(), part.column(3)
+                begin = _offsets(marks)
+                mark_key, mark_start, mark_end = (marks.flatten().field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+                for d in np.flatnonzero(np.diff(begin) > 0):
+                    mine = slice(begin[d], begin[d + 1])
+                    chosen = mark_key[mine] == key[d]
+                    n = w.first[d + 1] - w.first[d]
+                    end = np.minimum(mark_end[mine][chosen], n)
+                    fit = end - mark_start[mine][chosen] >= p.length
+                    starts.append(mark_start[mine][chosen][fit] + w.first[d])
+                    ends.append(end[fit] + w.first[d])
+                np.add.at(gone, np.concatenate(starts), 1)
+                np.add.at(gone, np.concatenate(ends), -1)
+                yield _kept(part, names, w, np.cumsum(gone[:-1]) > 0)
 
     return run
 
@@ -172,7 +287,7 @@ def _kept(part: pa.RecordBatch, names: list[str], w: textgrams.Words, cut: np.nd
     raw = w.raw.copy()
     space = w.end[keep[~last]]
     raw[space], inside[space] = 0x20, True
-    _, offsets = textgrams.utf8(part.column(names.index("__text")))
+    _, offsets = textgrams.utf8(part.column(1))
     sums = np.zeros(len(raw) + 1, np.int64)
     np.cumsum(inside, out=sums[1:])
     text = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(sums[offsets]), pa.py_buffer(raw[inside])]).cast(pa.string())
@@ -183,66 +298,79 @@ def _kept(part: pa.RecordBatch, names: list[str], w: textgrams.Words, cut: np.nd
     spans = pa.StructArray.from_arrays([pa.array(begins - w.first[of], pa.int64()), pa.array(ends - w.first[of], pa.int64())], ["start", "end"])
     lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32()), spans)
     removed = np.bincount(doc[cut], minlength=n) if n else np.empty(0, int)
-    keep_names = [x for x in names if not x.startswith("__")]
-    return pa.RecordBatch.from_arrays([*(part.column(names.index(x)) for x in keep_names), pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64()), lists, text], [*keep_names, "n_words", "n_removed", "repeats", "kept_text"])
+    results = [pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64()), lists, text]
+    return pa.RecordBatch.from_arrays([*(part.column(x) for x in names), *results], [*names, *_RESULTS])
+
+
+_RESULTS = ("n_words", "n_removed", "repeats", "kept_text")
+_SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
+_MARKS = "array<struct<key:bigint,start:int,end:int>>"
 
 
-def remove_repeats(docs: DataFrame, identifier: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """``docs`` with n_words, n_removed, repeats (maximal word spans [start, end) that go) and kept_text (the other words, one space between).
+def remove_repeats(docs: DataFrame, identifier: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED, columns: list[str] | None = None, held: int = HELD, **listing) -> DataFrame:
+    """``docs`` (or those of its columns that are named) with n_words, n_removed, repeats (maximal word spans [start, end) that go) and kept_text (the other words, one space between).
 
     A word goes if a window of ``length`` words over it also starts in a document with a smaller id; windows
     are judged on the input. Words are what ASCII white space separates, unchanged. Null texts count as
     empty. Documents without an id are neither earlier nor later than any: they stay whole and remove
     nothing. Rows that share an id (repeated rows) are not earlier than each other. Columns named as the
-    results are replaced, others (but those that begin with two underscores) pass through. No documents: no rows.
+    results are replaced, others pass through, whatever their names. No documents: no rows. ``listing`` goes to ``hot_grams``.
     """
-    spark = docs.sparkSession
-    docs = docs.drop("n_words", "n_removed", "repeats", "kept_text")
-    texts = docs.select(F.col(identifier).cast("long").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    plain = texts.toDF("id", "text")
+    spark = textgrams.small_batches(docs.sparkSession)
+    docs = docs.drop(*_RESULTS)
+    returned = [c for c in docs.columns if columns is None or c in columns]
+    same = dict(docs.dtypes)[identifier] == "bigint"
+    beside = [c for c in returned if c != text and (c != identifier or not same)]  # of the row, what is not passed as id and text
+    row = [F.struct(*beside).alias("row")] if beside else []
+    whole = docs.select(F.col(identifier).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *row)
+    plain = whole.select("id", "text")
+    filled = F.coalesce("text", F.lit(""))
+    key = F.xxhash64(filled)
 
     def grams(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
         for part in textgrams.slabs(batch, "text"):
-            w, at, hashes, anchors = _split(part.column(1), length, seed)
-            new = np.ones(len(at), bool)
-            new[1:] = (anchors[1:] != anchors[:-1]) | (np.diff(at) != 1)
+            _, _, hashes, anchors, places = _split(part.column(1), length, seed)
+            new = np.ones(len(places), bool)
+            new[1:] = places[1:] != places[:-1]
             yield {"window": hashes, "anchor": anchors[new]}
 
-    hot = hot_grams(plain, grams, ["window", "anchor"])
-    none = np.full(len(hot["window"]), np.iinfo(np.int64).max)
-    share = lambda first: spark.sparkContext.broadcast(_Plan(length, seed, hot["window"], first, hot["anchor"]))
-    plan = share(none)
-    if len(none):
-        found = plain.mapInArrow(_first_docs(plan), "k long, first long").groupBy("k").agg(F.min("first").alias("first")).toPandas()
-        first = none.copy()
-        first[found.k.to_numpy()] = found["first"].to_numpy()
-        plan = share(first)
+    hot = hot_grams(plain, grams, ["window", "anchor"], **listing)
+    first = np.full(len(hot["window"]), np.iinfo(np.int64).max)
+    share = lambda: spark.sparkContext.broadcast(_Plan(length, seed, hot["window"], first, hot["anchor"]))
+    plan = share()
+    if len(first):
+        found = plain.mapInArrow(_first_docs(plan), "k long, first long").groupBy("k").agg(F.min("first").alias("first")).toArrow()
+        first[found.column(0).to_numpy()] = found.column(1).to_numpy()
+        plan = share()
+
+    copies = plain.where("id is not null").select("id", key.alias("key"), F.md5(filled).alias("digest"))
+    earliest = copies.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    copies = copies.join(earliest, "digest").where("first < id").select("id", "key")
+
     met = Window.partitionBy("anchor")
     seeds = plain.mapInArrow(_seeds(plan), "anchor long, doc long")
     shared = seeds.withColumn("a", F.min("doc").over(met)).withColumn("b", F.max("doc").over(met)).where("a < b")
-    lists = shared.groupBy(F.col("doc").alias("__id")).agg(F.collect_list("anchor").alias("__anchors"))
-    key = F.xxhash64("__text")
-    around = texts.join(lists, "__id", "left").select(F.col("__id").alias("id"), F.col("__text").alias("text"), key.alias("key"), "__anchors")
-    around = around.mapInArrow(_extended(plan), "hash long, doc long, key long, start int")
-    earliest = F.min("doc").over(Window.partitionBy("hash"))
-    marks = around.withColumn("first", earliest).where("first < doc").groupBy(F.col("doc").alias("__id")).agg(F.collect_list(F.struct("key", "start")).alias("__marks"))
-    own = docs.select(*[c for c in docs.columns if not c.startswith("__") and c not in (identifier, text)], F.col(identifier).alias(identifier), F.col(text).alias(text))
-    whole = docs.columns == [identifier, text] and dict(docs.dtypes)[identifier] == "bigint"
-    left = texts if whole else own.withColumn("__id", F.col(identifier).cast("long")).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    out = left.join(marks, "__id", "left").withColumn("__key", key)
-    if whole:
-        out = out.withColumn(identifier, F.col("__id"))
-    kept = [f for f in docs.schema.fields if not f.name.startswith("__") and (f.name != text or not whole)]
-    kept = [f for f in kept if f.name in out.columns]
-    results = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("repeats", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))), StructField("kept_text", StringType())]
-    names = [f.name for f in kept]
-    out = out.select(*names, "__id", "__text", "__key", "__marks")
-    return out.mapInArrow(_removing(plan), StructType([*kept, *results]))
+    none = F.lit(None).cast("long")
+    both = shared.select(F.col("doc").alias("id"), "anchor", none.alias("key")).union(copies.select("id", none.alias("anchor"), "key"))
+    lists = both.groupBy("id").agg(F.collect_list("anchor").alias("anchors"), F.collect_set("key").alias("copies"))
+    around = plain.join(lists, "id", "left").select("id", "text", key.alias("key"), "anchors", "copies").mapInArrow(_occurrences(plan), _OCCURRENCE)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = around.repartition(width, "group").sortWithinPartitions("group", "doc")
+    spans = dealt.mapInArrow(_extended(length, seed, held), "doc long, key long, start int, end int")
+    spans = spans.union(copies.select("id", "key", F.lit(0).alias("start"), F.lit(_ALL).alias("end")))
+    marks = spans.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("key", "start", "end")).cast(_MARKS).alias("marks"))
+
+    out = whole.join(marks, "id", "left").select("id", "text", key.alias("key"), "marks", *(["row"] if row else []))
+    names = ["id", *(["row"] if row else []), *(["text"] if text in returned else [])]
+    schema = [*(whole.schema[x] for x in names), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("repeats", _SPANS), StructField("kept_text", StringType())]
+    done = out.mapInArrow(_removing(plan, names), StructType(schema))
+    back = [F.col("text").alias(c) if c == text else F.col("id").alias(c) if c == identifier and same else F.col("row")[c].alias(c) for c in returned]
+    return done.select(*back, *_RESULTS)
 
 
 def op10_substrings(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = remove_repeats(docs)
+    out = remove_repeats(docs, columns=["doc_id"])
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
