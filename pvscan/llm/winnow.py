@@ -1,55 +1,101 @@
 """Document fingerprints by winnowing, in built-in expressions only.
 
-A text's tokens are its pieces of up to six characters between ASCII white space. Hashes of all runs
-of ``k`` tokens are taken in order; of every ``w`` neighbouring hashes the least is kept, the
-rightmost of equal ones, with its position. Two texts that share ``w + k - 1`` tokens in a row
-therefore share a fingerprint at known places. A text of fewer tokens is one run; one of fewer runs is one window.
-
-A kept hash and its position are packed into one 64-bit integer: 40 bits of hash, then
-2**24 - 1 - position, so the least packed value is the rightmost of the least hashes. (Positions
-beyond 2**24 count from 0 again.)
+A text is its bytes in UTF-8. Hashes of all runs of ``k`` bytes are taken, one at each place; of every ``w``
+neighbouring hashes the least is kept, the rightmost of equal ones, with the place where its run begins. Two
+texts that share ``w + k - 1`` bytes in a row, anywhere, therefore share a fingerprint at known places, whether
+or not there are spaces between words. A text of fewer bytes is one run; one of fewer runs is one window.
+
+Least hashes of windows come from a few passes over the array of hashes, each of which widens windows up to
+four times. A long text is taken in segments, so that no more than a segment's hashes are held at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-K, W = 5, 8
-_BITS = 24
-_MASK = (1 << _BITS) - 1
-TOKEN = r"[^\x20\x09-\x0D]{1,6}"
+K, W = 16, 32
+#: Windows of a text that are taken at once.
+SEGMENT = 1 << 14
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _hashes(piece: Column, k: int) -> Column:
+    """Of each run of ``k`` bytes, in order; of a shorter piece its own."""
+    each = F.transform(F.sequence(F.lit(1), F.length(piece) - F.lit(k - 1)), lambda i: F.xxhash64(F.substring(piece, i, F.lit(k))))
+    return F.when(F.length(piece) >= k, each).otherwise(F.array(F.xxhash64(piece)))
+
+
+def _least(hashes: Column, w: int, then: Callable[[Column], Column], wide: int = 1) -> Column:
+    """``then`` of the least values of all windows of ``w``, given those of windows of ``wide``."""
+    if wide == w:
+        return then(hashes)
+    steps = [s for s in (wide, 2 * wide, 3 * wide) if s + wide <= w] or [w - wide]
+    front = F.slice(hashes, F.lit(1), F.size(hashes) - F.lit(steps[-1]))
+    wider = F.transform(front, lambda x, i: F.least(x, *[F.get(hashes, i + s) for s in steps]))
+    return _let(wider, lambda a: _least(a, w, then, steps[-1] + wide))
+
+
+def _kept(hashes: Column, least: Column, w: int, skip: Column, base: Column) -> Column:
+    """hash and position of each window's choice that the window before doesn't have; the first ``skip`` windows are not reported."""
+    last = F.least(F.lit(w), F.size(hashes)) - 1
+    new = F.transform(least, lambda x, i: F.when((i == 0) | (x != F.get(least, i - 1)) | (x == F.get(hashes, i + last)), i))
+
+    def place(i: Column) -> Column:
+        back = F.array_position(F.reverse(F.slice(hashes, i + 1, last + 1)), F.get(least, i)).cast("int")
+        return F.when(F.get(least, i) == F.get(hashes, i + last), i + last).otherwise(i + last + 1 - back)
 
+    chosen = F.filter(new, lambda i: i >= skip)
+    return F.transform(chosen, lambda i: F.struct(F.get(least, i).alias("hash"), (base + place(i)).alias("position")))
 
-def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
-    """Adds ``out``: array of packed (hash, position), in order of position.
 
-    Null and empty texts, and such of white space alone, have an empty array. Each row is fingerprinted
-    by itself: ties, repeated rows and other columns (but one named as ``out``) have no influence.
+def _segment(piece: Column, k: int, w: int, skip: Column, base: Column) -> Column:
+    def windows(h: Column) -> Column:
+        many = _least(h, w, lambda m: _kept(h, m, w, skip, base))
+        return F.when(F.size(h) >= w, many).otherwise(_let(F.array(F.array_min(h)), lambda m: _kept(h, m, w, skip, base)))
+
+    return _let(_hashes(piece, k), windows)
+
+
+def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W, segment: int = SEGMENT) -> DataFrame:
+    """Adds ``out``: array of (hash, position), in order of position; positions count bytes of UTF-8 from 0.
+
+    Null and empty texts have an empty array. Each row is fingerprinted by itself: ties, repeated rows and other
+    columns (but one named as ``out``, which is replaced) have no influence. No rows: no rows.
     """
-    h, g, m = f"__h_{out}", f"__g_{out}", f"__m_{out}"
-    hashed = F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0)), lambda x: F.xxhash64(x))
-    runs = F.transform(F.col(h), lambda x, i: F.shiftleft(F.xxhash64(x, *[F.get(F.col(h), i + j) for j in range(1, k)]), _BITS).bitwiseOR(F.lit(_MASK) - i.cast("bigint").bitwiseAND(F.lit(_MASK))))
-    least = F.transform(F.col(g), lambda x, i: F.least(x, *[F.get(F.col(g), i + j) for j in range(1, w)]))
-    step = df.withColumn(h, hashed)
-    step = step.withColumn(g, F.when(F.size(h) > 0, F.slice(runs, F.lit(1), F.greatest(F.size(h) - F.lit(k - 1), F.lit(1)))).otherwise(F.array().cast("array<bigint>"))).drop(h)
-    step = step.withColumn(m, F.when(F.size(g) > 0, F.slice(least, F.lit(1), F.greatest(F.size(g) - F.lit(w - 1), F.lit(1)))).otherwise(F.array().cast("array<bigint>"))).drop(g)
-    kept = F.filter(F.col(m), lambda x, i: (i == 0) | (x != F.coalesce(F.get(F.col(m), i - 1), x - 1)))
-    # A filter on the fingerprint is not to be pushed below it, where it would compute all of this again for each token.
-    return step.withColumn(out, F.when(F.monotonically_increasing_id() >= 0, kept)).drop(m)
+
+    def whole(raw: Column) -> Column:
+        windows = F.greatest(F.length(raw) - F.lit(k + w - 2), F.lit(1))
+
+        def part(j: Column) -> Column:
+            first = j * segment - F.when(j > 0, 1).otherwise(0)  # the window before comes along, to compare with
+            size = F.least((j + 1) * segment, windows) - first + F.lit(k + w - 2)
+            return _segment(F.substring(raw, first + 1, size), k, w, F.when(j > 0, 1).otherwise(0), first)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((windows - 1) / segment).cast("int")), part))
+
+    found = F.when(F.length(F.col(text)) > 0, _let(F.col(text).cast("binary"), whole)).otherwise(F.array().cast("array<struct<hash:bigint,position:int>>"))
+    # A filter on the fingerprint is not to be pushed below it, where it would compute all of this again.
+    return df.withColumn(out, F.when(F.monotonically_increasing_id() >= 0, found))
 
 
 def positions(fingerprint: Column) -> Column:
-    """Index of the first token of each kept run."""
-    return F.transform(fingerprint, lambda x: (F.lit(_MASK) - x.bitwiseAND(F.lit(_MASK))).cast("int"))
+    """First byte of each kept run."""
+    return F.transform(fingerprint, lambda x: x["position"])
 
 
 def hash_set(fingerprint: Column) -> Column:
-    return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(x, _BITS)))
+    return F.array_distinct(F.transform(fingerprint, lambda x: x["hash"]))
 
 
 def as_text(fingerprint: Column) -> Column:
     """``hash@position`` of each kept run, hash in hex."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.concat(F.lower(F.hex(F.shiftrightunsigned(x, _BITS))), F.lit("@"), (F.lit(_MASK) - x.bitwiseAND(F.lit(_MASK))).cast("string"))), " ")
+    return F.array_join(F.transform(fingerprint, lambda x: F.concat(F.lower(F.hex(x["hash"])), F.lit("@"), x["position"].cast("string"))), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -76,22 +122,28 @@ def successors(keys: DataFrame, key: str, base: int = 4096) -> DataFrame:
     return runs.withColumn("in", ahead).join(after, run, "left").select(key, F.coalesce("in", "then").alias("next"))
 
 
+#: Blocks of rows without an id, by their text's hash.
+_LOOSE = 4096
+
+
 def op5_winnowing(spark, sf_dir: str, block: int = 256) -> DataFrame:
     """Fingerprints of every text of documents, of its edited text, and their likeness.
 
     The next document is found inside blocks of ``block`` (a power of two) consecutive ids, one task sorting such a block;
     the first document of each block also goes to the block before. Rows that share a doc_id follow one
-    another in order of text; those without one come first. Texts are shuffled once.
+    another in order of text; those without one come first, in order of their text's hash, in blocks of their own. Null texts count as empty.
+    A single document follows itself. No documents: no rows. Texts are shuffled once.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    low = docs.agg(F.min("doc_id")).first()[0]
-    at = F.coalesce(F.shiftright("doc_id", block.bit_length() - 1), F.lit((low or 0) // block - 1))
+    low = docs.agg(F.min("doc_id")).first()[0] or 0
+    loose = F.lit(low // block - _LOOSE) + F.pmod(F.shiftright(F.xxhash64("text"), 52), F.lit(_LOOSE))
+    at = F.coalesce(F.shiftright("doc_id", block.bit_length() - 1), loose)
     docs = docs.withColumn("blk", at.cast("bigint"))
     blocks = successors(docs.select("blk").distinct(), "blk")
     first = docs.agg(F.min("blk")).first()[0]
     blocks = blocks.select("blk", F.coalesce("next", F.lit(first)).alias("next"))
-    dealt = docs.repartition("blk")
-    order = Window.partitionBy("blk").orderBy(F.col("doc_id").asc_nulls_first(), "text")
+    dealt = docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "blk")
+    order = Window.partitionBy("blk").orderBy(F.col("doc_id").asc_nulls_first(), F.when(F.col("doc_id").isNull(), F.xxhash64("text")), "text")
     heads = dealt.withColumn("k", F.row_number().over(order)).where("k = 1").select(F.col("blk").alias("next"), F.col("text").alias("head"))
     heads = blocks.join(heads, "next").select("blk", "head")
     heads = with_fingerprint(heads, "head", "fp").select("blk", "head", hash_set(F.col("fp")).alias("head_set"))
