@@ -1,6 +1,5 @@
 """URL filter, decontamination and toxicity."""
 
-import hashlib
 import random
 import re
 
@@ -66,10 +65,13 @@ def bench(rows):
     return [*items, (90, None), (91, ""), (92, "Kara"), (93, "kara NO-lo"), (94, items[0][1])]
 
 
-@pytest.mark.parametrize("most", [10_000, 1])
-def test_decontamination_like_brute_force(spark, docs, rows, bench, most):
+@pytest.mark.parametrize(("most", "few"), [(10_000, 10**6), (1, 10**6), (10_000, 0)])
+def test_decontamination_like_brute_force(spark, docs, rows, bench, most, few):
     items = spark.createDataFrame(bench, "item_id long, text string")
-    out = decontaminate.scan(docs, items, max_windows=most).select("doc_id", "text", "n_words", "n_hit", "items").collect()
+    clash = docs.selectExpr("*", "1 as key", "2 as ws", "3 as g4", "4 as row", "5 as __c4")
+    out = decontaminate.scan(clash, items, max_windows=most, few=few)
+    assert out.columns == [*clash.columns, "n_words", "hits", "n_hit", "items"]
+    out = out.where("key = 1 and ws = 2 and g4 = 3 and row = 4 and __c4 = 5").select("doc_id", "text", "n_words", "n_hit", "items").collect()
     want = [(r[0], r[1], *brute_hits(r[1], bench)) for r in rows]
     order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
     assert [(*r[:4], list(r[4])) for r in sorted(out, key=order)] == [(*w[:4], w[4]) for w in sorted(want, key=order)]
@@ -80,7 +82,7 @@ def test_removal(spark, docs, rows, bench, no_docs):
     kept = decontaminate.remove_documents(docs.withColumn("hits", F.lit("mine")), items)
     assert kept.columns == [*docs.columns, "hits"] and kept.first().hits == "mine"
     clean = [r for r in rows if not (lambda n, h, _: h > 0 and 20 * h >= n)(*brute_hits(r[1], bench))]
-    assert kept.count() == len(clean)
+    assert kept.count() == len(clean) == decontaminate.remove_documents(docs, items, max_windows=1, few=0).count()
     spans = decontaminate.remove_spans(docs, items)
     for r in spans.collect():
         assert r.clean_text == r.text if r.n_hit == 0 else len(bench_words(r.clean_text)) == r.n_words - r.n_hit
@@ -130,7 +132,3 @@ def test_toxicity_edge_cases(spark, docs, no_docs):
     scored = toxicity.score(docs.withColumn("severity", F.lit("x")), model)
     assert scored.columns == [*docs.columns, "severity", "grade"] and scored.where("severity is null").count() == 0
     assert toxicity.score(no_docs, model).count() == 0
-
-
-def test_sha_of_no_items():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")

@@ -1,6 +1,7 @@
 """Jaccard join and substring dedup against brute force."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -138,10 +139,9 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize("least", [2, 32])
-def test_repeats_like_brute_force(docs, rows, monkeypatch, least):
-    monkeypatch.setattr(substrings, "hot_grams", lambda d, g, k, f=substrings.hot_grams: f(d, g, k, least=least))
-    out = substrings.remove_repeats(docs).collect()
+@pytest.mark.parametrize("how", [{"least": 2}, {"least": 32}, {"least": 10_000, "held": 8}, {"least": 2, "most": 60}])
+def test_repeats_like_brute_force(docs, rows, how):
+    out = substrings.remove_repeats(docs, **how).collect()
     got = [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in out]
     assert sorted(got, key=key) == sorted(brute_repeats(rows), key=key)
     for r in out:
@@ -149,11 +149,26 @@ def test_repeats_like_brute_force(docs, rows, monkeypatch, least):
         assert all(s.end - s.start >= 13 for s in r.repeats)
 
 
+@pytest.mark.parametrize("how", [{"least": 2}, {"least": 10_000}, {"least": 10_000, "held": 4}])
+def test_repeats_of_periodic_texts(spark, how):
+    """An anchor occurs several times in one window; matches must lie alike around it."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(60):
+        unit = [rnd.choice("abc") for _ in range(rnd.randrange(1, 7))]
+        text = unit * rnd.randrange(3, 14)
+        rows.append((i % 50, " ".join(text[: rnd.randrange(10, 45)] + [rnd.choice("abcd") for _ in range(rnd.randrange(6))])))
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()
+    got = [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in out]
+    assert sorted(got) == sorted(brute_repeats(rows))
+
+
 def test_repeats_keep_columns(docs, no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
-    clash = docs.selectExpr("*", "'x' as kept_text", "1 as doc", "'y' as hash")
+    clash = docs.selectExpr("*", "'x' as kept_text", "1 as doc", "'y' as hash", "2 as __key", "3 as id", "4 as row")
     out = substrings.remove_repeats(clash)
-    assert out.columns == ["doc_id", "text", "lang", "source", "doc", "hash", "n_words", "n_removed", "repeats", "kept_text"]
+    assert {(r.lang, r.doc, r.hash, r["__key"], r.id, r.row) for r in out.collect()} == {(x, 1, "y", 2, 3, 4) for x in ("en", "de", None)}
+    assert out.columns == ["doc_id", "text", "lang", "source", "doc", "hash", "__key", "id", "row", "n_words", "n_removed", "repeats", "kept_text"]
     assert out.count() == docs.count()
 
 

@@ -1,5 +1,6 @@
 """Winnowing, chat, mixing, shards and the quality model."""
 
+import hashlib
 import io
 import math
 import random
@@ -22,16 +23,10 @@ def signed(x):
 
 
 def brute_winnow(text, k=winnow.K, w=winnow.W):
-    tokens = regex.findall(r"[^\x20\x09-\x0D]{1,6}", text or "")
-    if not tokens:
+    raw = (text or "").encode()
+    if not raw:
         return []
-    hashes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
-    runs = []
-    for i in range(max(1, len(hashes) - k + 1)):
-        h = 42
-        for x in hashes[i : i + k]:
-            h = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), h)
-        runs.append(signed((h << 24) & (1 << 64) - 1) >> 24)
+    runs = [signed(xxhash.xxh64_intdigest(raw[i : i + k], 42)) for i in range(max(1, len(raw) - k + 1))]
     kept = []
     for s in range(max(1, len(runs) - w + 1)):
         own = range(s, min(s + w, len(runs)))
@@ -41,22 +36,41 @@ def brute_winnow(text, k=winnow.K, w=winnow.W):
     return kept
 
 
-def test_winnowing_like_brute_force(docs, no_docs):
-    out = winnow.with_fingerprint(docs, "text", "fp").select("text", winnow.positions(F.col("fp")).alias("at"), F.transform("fp", lambda x: F.shiftright(x, 24)).alias("h")).collect()
-    for r in out:
-        assert list(zip(r.h, r.at, strict=True)) == brute_winnow(r.text)
+def periodic_texts():
+    rnd = random.Random(3)
+    units = ["a", "ab", "abc", "é中", "x" * 17, "the cat ", "0123456789" * 5]
+    return [rnd.choice(units) * rnd.randrange(1, 60) + "z" * rnd.randrange(40) + rnd.choice(units) * rnd.randrange(1, 30) for _ in range(60)]
+
+
+@pytest.mark.parametrize("segment", [winnow.SEGMENT, 7])
+def test_winnowing_like_brute_force(spark, docs, no_docs, segment):
+    texts = docs.select("text").union(spark.createDataFrame([(t,) for t in periodic_texts()], "text string"))
+    for k, w in ((winnow.K, winnow.W), (3, 4), (2, 5), (1, 1)):
+        out = winnow.with_fingerprint(texts, "text", "fp", k, w, segment).select("text", winnow.positions(F.col("fp")).alias("at"), F.transform("fp", lambda x: x["hash"]).alias("h")).collect()
+        for r in out:
+            assert list(zip(r.h, r.at, strict=True)) == brute_winnow(r.text, k, w)
+        texts = texts.where("length(text) < 3000")
     assert winnow.with_fingerprint(no_docs, "text", "fp").count() == 0
 
 
 def test_shared_runs_share_a_fingerprint(spark):
     rnd = random.Random(2)
-    token = lambda: f"{rnd.randrange(10**5):05d}"
-    shared = [token() for _ in range(winnow.K + winnow.W - 1)]
-    rows = [(i, " ".join([token() for _ in range(rnd.randrange(40))] + shared + [token() for _ in range(rnd.randrange(40))])) for i in range(20)]
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = some(winnow.K + winnow.W - 1)
+    rows = [(i, some(rnd.randrange(400)) + shared + some(rnd.randrange(400))) for i in range(20)]
     out = winnow.with_fingerprint(spark.createDataFrame(rows, "i int, text string"), "text", "fp").select(winnow.hash_set(F.col("fp"))).collect()
     assert set.intersection(*[set(r[0]) for r in out])
 
 
+def test_one_more_character_in_front_of_unspaced_text(spark):
+    rnd = random.Random(6)
+    for alphabet in ([chr(0x4E00 + i) for i in range(3000)], [*"abcdefghijklmnopqrstuvwxyz0123456789"]):
+        text = "".join(rnd.choice(alphabet) for _ in range(3000))
+        df = spark.createDataFrame([(text, alphabet[5] + text)], "a string, b string")
+        df = winnow.with_fingerprint(winnow.with_fingerprint(df, "a", "x"), "b", "y")
+        assert df.select(winnow.likeness(winnow.hash_set(F.col("x")), winnow.hash_set(F.col("y")))).first()[0] > 0.9
+
+
 @pytest.mark.parametrize("ids", [[5], [0, 1, 2, 300, 301, 10**12, -7], list(range(600))])
 def test_successors(spark, ids):
     got = {r[0]: r[1] for r in winnow.successors(spark.createDataFrame([(i,) for i in ids], "k long"), "k", 16).collect()}
@@ -64,19 +78,22 @@ def test_successors(spark, ids):
     assert got == dict(zip(own, [*own[1:], None], strict=True))
 
 
-@pytest.mark.parametrize("ids", [[3, 9, 11, 700, 5000], [None, 4], [8]])
+@pytest.mark.parametrize("ids", [[3, 9, 11, 700, 5000], [None, 4], [8], [-3, -1, 2**40]])
 def test_edited_texts(spark, tmp_path, ids):
-    texts = ["añb cd" * (i + 1) + "x" * i for i in range(len(ids))]
+    texts = ["añb cd" * (7 * i + 1) + "x" * 3 * i for i in range(len(ids))]
     spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    import hashlib
-
     got = {r.doc_id: r for r in winnow.op5_winnowing(spark, str(tmp_path)).collect()}
     for k, i in enumerate(ids):
         text, following = texts[k], texts[(k + 1) % len(ids)]
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
         assert got[i].n_chars == len(text) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert 0 <= got[i].near_next <= 1 and 0 <= got[i].near_edited <= 1
+        prints = [brute_winnow(x) for x in (text, edited, following)]
+        as_text = lambda p: " ".join(f"{h & (1 << 64) - 1:x}@{at}" for h, at in p)
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (as_text(prints[0]), as_text(prints[1]))
+        sets = [{h for h, _ in p} for p in prints]
+        near = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+        assert got[i].near_edited == pytest.approx(near(sets[0], sets[1])) and got[i].near_next == pytest.approx(near(sets[0], sets[2]))
 
 
 def test_winnowing_query_on_no_documents(spark, tmp_path, no_docs):
@@ -94,35 +111,95 @@ def test_chat_collapses_snapshots(spark):
     assert chat.collapse_and_render(turns.limit(0)).count() == 0
 
 
-def test_shares():
-    assert mixing.share(10, [1, 1], [100, 100]) == [5, 5]
-    assert mixing.share(10, [1, 1], [2, 100]) == [2, 8]
-    assert mixing.share(10, [1, 0], [2, 100]) == [2, 8]
-    assert mixing.share(1000, [1, 1], [2, 3]) == [2, 3]
+def brute_share(amount, wanted, most):
+    """Gives a little at a time, by weight, to whoever has room; weightless ones wait."""
+    got = [0.0] * len(most)
+    left = min(amount, sum(most))
+    while left > 1e-9:
+        room = [i for i in range(len(most)) if most[i] - got[i] > 1e-9]
+        turn = [i for i in room if wanted[i] > 0]
+        by = [wanted[i] for i in turn] if turn else [most[i] - got[i] for i in room]
+        turn = turn or room
+        # the largest round in which nobody gets too much
+        step = min(left, min((most[i] - got[i]) * sum(by) / w for i, w in zip(turn, by, strict=True)))
+        for i, w in zip(turn, by, strict=True):
+            got[i] += step * w / sum(by)
+        left -= step
+    return got
+
+
+def brute_budgets(supply, weights, budget, epochs, at=()):
+    """Tokens of each leaf, top down."""
+    depth = len(at)
+    if supply and len(next(iter(supply))) == depth:
+        return {at: budget}
+    below = sorted({leaf[: depth + 1] for leaf in supply if leaf[:depth] == at})
+    most = [epochs * sum(n for leaf, n in supply.items() if leaf[: depth + 1] == c) for c in below]
+    out = {}
+    for c, part in zip(below, brute_share(budget, [max(0.0, weights.get(c, 1.0)) for c in below], most), strict=True):
+        out |= brute_budgets(supply, weights, part, epochs, c)
+    return out
+
+
+def given_budgets(spark, supply, weights, budget, epochs):
+    table = spark.createDataFrame([(*leaf, n) for leaf, n in supply.items()], "a string, b string, n long")
+    return {(r.a, r.b): r.asked for r in mixing.budgets(table, ["a", "b"], weights, budget, epochs).collect()}
+
+
+def test_budgets(spark):
     supply = {("a", "x"): 10, ("a", "y"): 1000, ("b", "z"): 1000}
     # x falls short: its sibling y makes up for it before b does
-    assert mixing.budgets(supply, {}, 1000, 1) == {("a", "x"): 10, ("a", "y"): 490, ("b", "z"): 500}
-    assert mixing.budgets({}, {}, 10, 1) == {}
-
-
-@pytest.mark.parametrize(("fraction", "epochs"), [(0.5, 1), (1.7, 3), (1.0, 1), (0.0, 2)])
-def test_mixing_like_brute_force(docs, rows, fraction, epochs):
+    assert given_budgets(spark, supply, {}, 1000, 1) == {("a", "x"): 10, ("a", "y"): 490, ("b", "z"): 500}
+    assert given_budgets(spark, {}, {}, 10, 1) == {}
+    assert given_budgets(spark, supply, {("a",): 0.0}, 600, 1) == {("a", "x"): 0, ("a", "y"): 0, ("b", "z"): 600}
+    assert given_budgets(spark, supply, {("a",): 0.0, ("a", "x"): 0, ("a", "y"): -1}, 1505, 1) == {("a", "x"): 5, ("a", "y"): 500, ("b", "z"): 1000}
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_budgets_like_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    for fraction in (0.3, 0.9, 1.4):
+        supply = {(f"d{rnd.randrange(5)}", f"s{k}"): rnd.choice([0, 1, 7, 100, 100, 5000]) for k in range(25)}
+        weights = {(f"d{k}",): rnd.choice([0.0, 1.0, 2.5, 4.0]) for k in range(4)} | {leaf: rnd.choice([0.0, 1.0, 3.0]) for leaf in list(supply)[::2]}
+        budget = fraction * sum(supply.values())
+        got = given_budgets(spark, supply, weights, budget, 2)
+        want = brute_budgets(supply, weights, budget, 2)
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) <= 0.5 + 1e-6 for k in want)
+
+
+def brute_mix(rows, asked, supply, epochs, seed):
+    """(id, text, epoch) of what a leaf's budget reads: whole epochs, then the front of the next one's order."""
+    out = []
+    for leaf, budget in asked.items():
+        own = [r for r in rows if (r[2] or "", r[3] or "") == leaf]
+        whole = min(budget // supply[leaf], epochs) if supply[leaf] else 0
+        out += [(r[0], r[1], e) for r in own for e in range(whole)]
+        rest = budget - whole * supply[leaf] if supply[leaf] and whole < epochs else 0
+        name = lambda r: hashlib.md5(f"{seed}|{whole}|{'' if r[0] is None else r[0]}|{signed(xxhash.xxh64_intdigest((r[1] or '').encode(), 42))}".encode()).hexdigest()  # noqa: B023, E731
+        before = 0
+        for h in sorted({name(r) for r in own}):
+            if before >= rest:
+                break
+            twins = [r for r in own if name(r) == h]
+            out += [(r[0], r[1], whole) for r in twins]
+            before += sum(len((r[1] or "").split()) for r in twins)
+    return out
+
+
+@pytest.mark.parametrize(("fraction", "epochs", "few"), [(0.5, 1, 100), (1.7, 3, 100), (1.0, 1, 0), (0.0, 2, 0), (0.6, 2, 0)])
+def test_mixing_like_brute_force(docs, rows, fraction, epochs, few):
     levels, weights = ["lang", "source"], {("en",): 3.0, ("en", "s1"): 2.0}
-    out = mixing.mix(docs.withColumn("epoch", F.lit("mine")), levels, weights, fraction, epochs, seed=9)
-    assert out.columns == [*docs.columns, "n_tokens", "epoch"]
+    clash = docs.withColumn("epoch", F.lit("mine")).withColumn("leaf", F.lit(1)).withColumn("l0", F.lit(2)).withColumn("row", F.lit(3))
+    out = mixing.mix(clash, levels, weights, fraction, epochs, seed=9, few=few)
+    assert out.columns == [*docs.columns, "leaf", "l0", "row", "n_tokens", "epoch"]
     supply = Counter()
     for _, t, lang, source in rows:
         supply[(lang or "", source or "")] += len((t or "").split())
-    asked = mixing.budgets(dict(supply), weights, fraction * sum(supply.values()), epochs)
-    given, longest = Counter(), Counter()
-    for r in out.collect():
-        given[(r.lang or "", r.source or "")] += r.n_tokens
-        assert r.epoch < epochs
-    for _, t, lang, source in rows:
-        leaf = (lang or "", source or "")
-        longest[leaf] = max(longest[leaf], 3 * len((t or "").split()))  # repeated rows come together
-    for leaf, n in asked.items():
-        assert n <= given[leaf] <= n + longest[leaf] or given[leaf] == supply[leaf] * epochs
+    asked = {k: math.floor(v + 0.5) for k, v in brute_budgets(dict(supply), weights, fraction * sum(supply.values()), epochs).items()}
+    got = out.collect()
+    order = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(((r.doc_id, r.text, r.epoch) for r in got), key=order) == sorted(brute_mix(rows, asked, supply, epochs, 9), key=order)
+    assert all(r.n_tokens == len((r.text or "").split()) and (r.leaf, r.l0, r["row"]) == (1, 2, 3) for r in got)
 
 
 def test_mixing_is_a_prefix_of_a_fixed_order(docs, no_docs):
@@ -187,14 +264,18 @@ def test_shards_of_documents(spark, docs, rows, no_docs, tmp_path):
     assert empty.count() == 0 and sstable.read_documents(empty).count() == 0
 
 
+START = "\0" * (kneser_ney.ORDER - 1)
+
+
 def brute_kneser_ney(trusted):
-    """log p(d | abc) by the textbook recursion."""
+    """log p(last | those before) by the textbook recursion."""
+    size = kneser_ney.ORDER
     grams = Counter()
     for t in trusted:
-        p = "\0\0\0" + t
-        grams.update(p[i : i + 4] for i in range(len(t)))
+        p = START + t
+        grams.update(p[i : i + size] for i in range(len(t)))
     levels = [grams]
-    for _ in range(3):
+    for _ in range(size - 1):
         levels.append(Counter(g[1:] for g in levels[-1]))
     cut = [kneser_ney.discounts([sum(v == k for v in level.values()) for k in (1, 2, 3, 4)]) for level in levels]
     by = [{} for _ in levels]
@@ -203,7 +284,7 @@ def brute_kneser_ney(trusted):
             by[k].setdefault(g[:-1], []).append(n)
 
     def p(g, k=0):
-        lower = p(g[1:], k + 1) if k < 3 else 1 / (len(levels[3]) + 1)
+        lower = p(g[1:], k + 1) if k < size - 1 else 1 / (len(levels[-1]) + 1)
         own = by[k].get(g[:-1])
         if not own:
             return lower
@@ -212,7 +293,7 @@ def brute_kneser_ney(trusted):
         back = sum(d[min(x, 3) - 1] for x in own)
         return (n - off) / sum(own) + back / sum(own) * lower
 
-    return lambda t: sum(math.log(p(("\0\0\0" + t)[i : i + 4])) for i in range(len(t)))
+    return lambda t: sum(math.log(p((START + t)[i : i + size])) for i in range(len(t)))
 
 
 def test_perplexities_like_brute_force(spark, docs, rows):
@@ -232,15 +313,49 @@ def test_perplexities_like_brute_force(spark, docs, rows):
 
 def test_probabilities_sum_to_one(spark):
     texts = ["abracadabra", "abba cab", "dada"]
-    counts = Counter(("\0\0\0" + t)[i : i + 4] for t in texts for i in range(len(t)))
-    packed = lambda g: signed(sum(ord(c) << 16 * (3 - i) for i, c in enumerate(g)))
+    size = kneser_ney.ORDER
+    counts = Counter((START + t)[i : i + size] for t in texts for i in range(len(t)))
+    packed = lambda g: sum(ord(c) << kneser_ney.BITS * (size - 1 - i) for i, c in enumerate(g))
     table = spark.createDataFrame([(packed(g), n) for g, n in counts.items()], "gram long, n long")
     letters = sorted({c for t in texts for c in t}) + ["?"]
-    for context in ("abr", "\0\0\0", "zzz"):
+    for context in ("cabr", START, "zzzz"):
         asked = spark.createDataFrame([(packed(context + c),) for c in letters], "gram long")
         assert sum(math.exp(r.logp) for r in kneser_ney.probabilities(asked, table).collect()) == pytest.approx(1, abs=1e-5)
 
 
+@pytest.mark.parametrize(("chunk", "least"), [(kneser_ney.CHUNK, 3), (100, 1), (kneser_ney.CHUNK, 100)])
+def test_quality_thresholds_like_brute_force(spark, monkeypatch, chunk, least):
+    monkeypatch.setattr(kneser_ney, "CHUNK", chunk)
+    rnd = random.Random(11)
+    some = lambda: " ".join(rnd.choice(["le", "chat", "dort", "là", "bas", "中"]) for _ in range(rnd.randrange(1, 30)))
+    rows = [(i, some(), rnd.choice(["fr", "fr", None, "x"])) for i in range(120)] + [(300, "zqx" * 30, "fr"), (301, "", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = list(range(0, 120, 2))
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    held = {r[0] for r in docs.where(kneser_ney.held_out(F.col("doc_id"))).collect()} & set(good)
+    assert 0 < len(held) < 20
+    score = brute_kneser_ney([t for i, t, _ in rows if i in set(good) - held])
+    own = {i: math.exp(-score(t) / len(t)) for i, t, _ in rows if t}
+
+    def threshold(chosen, quantile=0.5):
+        values = sorted(own[i] for i in chosen)
+        return values[max(0, math.ceil(quantile * len(values)) - 1)]
+
+    for r in kneser_ney.classify(docs, labels, quantile=0.5, least=least).collect():
+        peers = [i for i, _, lang in rows if i in held and lang == r.lang]
+        want = threshold(next(x for x in (peers, held, good) if len(x) >= least or x is good))
+        assert r.threshold == pytest.approx(want, rel=1e-5)
+        assert r.keep == (r.doc_id in own and own[r.doc_id] <= want * (1 + 1e-6))
+    assert spark.catalog.listTables() == []
+
+
+def test_rare_characters_share_a_number(spark):
+    texts = spark.createDataFrame([("".join(chr(0x4E00 + i) for i in range(5000)) + "ab" * 9,), (None,)], "text string")
+    table = kneser_ney.vocabulary(texts)
+    assert {int(table[ord("a")]), int(table[ord("b")])} == {1, 2} and len(set(table.tolist())) == kneser_ney.KNOWN + 1
+    assert table[ord("z")] == kneser_ney.KNOWN + 1
+
+
 def test_quality_keeps_language_and_drops_noise(spark, no_docs):
     rnd = random.Random(4)
     clean = lambda: " ".join(rnd.choice(["the", "cat", "sat", "on", "mat", "and", "dog", "ran"]) for _ in range(60))
