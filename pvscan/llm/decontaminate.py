@@ -1,26 +1,31 @@
 """Benchmark decontamination with a broadcast hash set of test n-grams, in built-in expressions only.
 
 Benchmark texts are normalised into words and cut into windows of ``n`` words (a shorter item is one
-window). Their hashes form a bucketed hash table that every task gets with its plan. Each
-training text's token windows are hashed (by their first words, so that windows of all lengths are found
-in one pass) and looked up in it; a hit counts only if all words agree.
-Texts are neither shuffled nor exploded.
-
-The table is used up to ``max_windows`` distinct windows (counted first). A larger benchmark is joined
-with the training windows on their hashes by a shuffle instead, with the same results.
+window). They are a broadcast hash relation, keyed by the hash of their first words, so that windows of all
+lengths are found in one pass. Each training text's token windows are looked up in it; a hit counts only if all
+words agree. Hits are gathered by the digest of their text and come back to the documents by a join on it, broadcast
+where they are few (they are counted); texts are not shuffled then.
+
+The relation is used up to ``max_windows`` distinct windows (counted first). Of a larger benchmark a Bloom filter of
+bounded size is sent out instead. Windows of training texts whose first words pass it, some fiftieth of them, are joined
+with the benchmark's on their digests, in salted parts, with the same results.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pvscan.scratch import written
+
 #: What lies between words. Splitting there is some twenty times as fast as matching the words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 N = 13
 #: Words of a window that its key in the hash table covers; windows of any length share one pass so.
 HEAD = 4
+#: Bits of the Bloom filter for each window and in all, and parts of a digest's windows.
+BITS, MOST_BITS, SALTS = 16, 1 << 24, 16
+#: Texts with hits are broadcast up to so many hits, items and keys in all.
+FEW = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,83 +58,102 @@ def _hash_of(grams: DataFrame) -> DataFrame:
     return grams.withColumn("hash", own).drop("hs")
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = N, max_windows: int = 100_000) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = N, max_windows: int = 100_000, few: int = FEW) -> DataFrame:
     """``docs`` with n_words, hits (array of start, length, items; starts count words from 0), n_hit and items.
 
     n_hit counts words inside any occurrence of a benchmark window; items holds the ids (sorted strings)
     of the items whose windows occur. Null and empty texts, and such without words, have none of either;
     so has every text if the benchmark is empty. Items with a null id count as the empty id. Repeated rows
-    are scanned alike. Other columns pass through, but those named as the results are replaced.
+    are scanned alike. Other columns pass through, whatever their names, but those named as the results are replaced. No documents: no rows.
     """
-    grams = benchmark_windows(benchmark, item, item_text, n)
-    docs = docs.drop("n_words", "hits", "n_hit", "items", "__ws", "__h")
-    if grams.limit(max_windows + 1).count() <= max_windows:
-        out = _by_table(docs, _hash_of(grams), text)
-    else:
-        out = _by_shuffle(docs, grams, text)
-    covered = F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1))))
-    out = out.withColumn("n_hit", F.size(covered).cast("bigint"))
-    return out.withColumn("items", F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["items"])))))
+    rows = docs.select(F.struct(*[c for c in docs.columns if c not in _RESULTS]).alias("row"))
+    text_ = F.col("row")[text]
+    found = _near(_found(rows.select(text_.alias("text")), benchmark, item, item_text, n, max_windows), few)
+    out = rows.withColumn("key", _key(text_)).join(found.drop("n_words"), "key", "left")
+    filled = [F.coalesce("hits", F.array().cast(_HIT)).alias("hits"), F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")]
+    return out.select("row.*", F.size(words(text_)).cast("bigint").alias("n_words"), *filled)
 
 
+_RESULTS = ("n_words", "hits", "n_hit", "items")
 _HIT = "array<struct<start:int,length:int,items:array<string>>>"
 
 
-def _by_table(docs: DataFrame, grams: DataFrame, text: str) -> DataFrame:
-    rows = grams.select("length", "head", "hash", "words", "items").collect()  # at most max_windows
-    out = docs.withColumn("__ws", words(F.col(text))).withColumn("n_words", F.size("__ws").cast("bigint")).withColumn("__h", F.transform("__ws", lambda x: F.xxhash64(x)))
-    found = [F.array().cast(_HIT)]
-    for head in sorted({r["head"] for r in rows}):
-        own = [r for r in rows if r["head"] == head]
-        buckets = 1 << (16 * len(own) - 1).bit_length()
-        table: list[list[dict]] = [[] for _ in range(buckets)]
-        for r in own:
-            table[r["hash"] % buckets].append({"hash": r["hash"], "length": r["length"], "words": r["words"], "items": list(r["items"])})
-        out, hits = _looked_up(out, table, head)
-        found.append(hits.cast(_HIT))
-    # A filter on the results is not to be pushed below the scan, where it would compute all of this again for each window.
-    out = out.withColumn("hits", F.when(F.monotonically_increasing_id() >= 0, F.concat(*found)))
-    return out.drop(*[c for c in out.columns if c.startswith("__g") or c.startswith("__c") or c in ("__h", "__ws")])
-
-
-def _looked_up(out: DataFrame, table: list[list[dict]], head: int) -> tuple[DataFrame, Column]:
-    """Each window's key is looked up in the table; returns the hits whose words agree."""
-    kind = "array<array<struct<hash:bigint,length:int,words:string,items:array<string>>>>"
-    value = F.from_json(F.lit(json.dumps(table)), kind)  # of a literal: evaluated once, when the plan is made
-    g, c = F.col(f"__g{head}"), F.col(f"__c{head}")
+def _key(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
-    def slot(x: Column) -> Column:
-        return F.get(value, F.pmod(x, F.lit(len(table))).cast("int"))
 
-    def same(e: Column, i: Column) -> Column:
-        return (e["hash"] == F.get(g, i)) & (e["length"] <= F.size("__ws") - i) & (e["words"] == F.array_join(F.slice("__ws", i + 1, e["length"]), " "))
+def _near(found: DataFrame, few: int) -> DataFrame:
+    """Broadcast, if what it holds is little."""
+    size = found.agg(F.sum(F.size("hits") + F.size("items") + 8)).first()[0] or 0
+    return F.broadcast(found) if size <= few else found
 
-    def hit(e: Column, i: Column) -> Column:
-        return F.struct(i.cast("int").alias("start"), e["length"].alias("length"), e["items"].alias("items"))
 
-    out = out.withColumn(f"__g{head}", _run_hashes(F.col("__h"), head))
-    # windows whose key is in the table are few; only they are built as words
-    at = F.transform(g, lambda x, i: F.when(F.exists(slot(x), lambda e: e["hash"] == x), i))
-    out = out.withColumn(f"__c{head}", F.filter(at, lambda i: i.isNotNull()))
-    return out, F.flatten(F.transform(c, lambda i: F.transform(F.filter(slot(F.get(g, i)), lambda e: same(e, i)), lambda e: hit(e, i))))
-
-
-def _by_shuffle(docs: DataFrame, grams: DataFrame, text: str) -> DataFrame:
-    """Windows of the distinct texts are joined with the benchmark's on their words' SHA-256."""
-    docs = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    lengths = [x[0] for x in grams.select("length").distinct().collect()]
-    texts = docs.select("__key", words(F.col(text)).alias("ws"))
-
-    def each(k: int) -> Column:
-        at = F.transform(F.sequence(F.lit(1), F.size("ws") - k + 1), lambda i: F.struct((i - 1).alias("start"), F.lit(k).alias("length"), F.sha2(F.array_join(F.slice("ws", i, k), " "), 256).alias("digest")))
-        return F.when(F.size("ws") >= k, at).otherwise(F.array().cast("array<struct<start:int,length:int,digest:string>>"))
-
-    every = F.concat(F.array().cast("array<struct<start:int,length:int,digest:string>>"), *[each(k) for k in lengths])
-    windows = texts.select("__key", F.explode(every).alias("w")).select("__key", "w.*").distinct()
-    met = windows.join(grams.select("length", F.sha2("words", 256).alias("digest"), "items"), ["length", "digest"])
-    hits = met.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("start", "length", "items"))).cast(_HIT).alias("hits"))
-    out = docs.withColumn("n_words", F.size(words(F.col(text))).cast("bigint")).join(hits, "__key", "left").drop("__key")
-    return out.withColumn("hits", F.coalesce("hits", F.array().cast(_HIT)))
+def _found(texts: DataFrame, benchmark: DataFrame, item: str, item_text: str, n: int, max_windows: int) -> DataFrame:
+    """key, n_words, hits, n_hit and items of each distinct text with a hit, as a table."""
+    grams = written(_hash_of(benchmark_windows(benchmark, item, item_text, n)), "windows")
+    kinds = sorted(tuple(r) for r in grams.groupBy("head", "length").agg(F.count("*").alias("n")).collect())  # a row for each window length
+    own = texts.select(_key(F.col("text")).alias("key"), words(F.col("text")).alias("ws")).withColumn("h", F.transform("ws", lambda x: F.xxhash64(x)))
+    met = (_by_broadcast if sum(k[2] for k in kinds) <= max_windows else _by_shuffle)(own, grams, kinds)
+    hits = met.groupBy("key").agg(F.first("n_words").alias("n_words"), F.array_sort(F.collect_set(F.struct("start", "length", "items"))).cast(_HIT).alias("hits"))
+    covered = F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1))))
+    items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["items"]))))
+    return written(hits.select("key", "n_words", "hits", F.size(covered).cast("bigint").alias("n_hit"), items.alias("items")), "hits")
+
+
+def _once(windows: Column) -> Column:
+    """Spark filters empty arrays before it explodes them; that filter must not be pushed below, where it would compute all hashes again for each window."""
+    return F.when(F.monotonically_increasing_id() >= 0, windows)
+
+
+def _by_broadcast(own: DataFrame, grams: DataFrame, kinds: list[tuple]) -> DataFrame:
+    """Every window's key meets the broadcast set; a hit counts if all its words agree."""
+    heads = sorted({k[0] for k in kinds})
+    keys = F.concat(F.array().cast("array<bigint>"), *[_run_hashes(F.col("h"), head) for head in heads])
+    own = own.withColumn("keys", _once(keys)).select("key", "ws", F.posexplode("keys").alias("at", "hash"))
+    # the keys of all head lengths stand one after another
+    before, start = F.lit(0), F.lit(0)
+    for head in heads:
+        start = F.when(F.col("at") >= before, F.col("at") - before).otherwise(start)
+        before = before + F.greatest(F.size("ws") - head + 1, F.lit(0))
+    met = own.join(F.broadcast(grams.select("hash", "length", "words", "items")), "hash").withColumn("start", start.cast("int"))
+    same = (F.col("length") <= F.size("ws") - F.col("start")) & (F.col("words") == F.array_join(F.slice("ws", F.col("start") + 1, F.col("length")), " "))
+    return met.where(same).select("key", F.size("ws").cast("bigint").alias("n_words"), "start", "length", "items")
+
+
+def _bloom(hashes: DataFrame, bits: int) -> bytes:
+    """Two bits are set for each ``hash``; eight to a byte. Its size is bounded, whatever the number of hashes."""
+    probes = hashes.select(F.explode(F.array("hash", F.xxhash64("hash"))).alias("x"))
+    probes = probes.select(F.pmod("x", F.lit(bits // 8)).alias("id"), F.pmod(F.shiftright("x", 40), F.lit(8)).cast("int").alias("bit"))
+    rows = probes.groupBy("id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("bit"))).alias("byte")).collect()
+    out = bytearray(bits // 8)
+    for r in rows:
+        out[r["id"]] = r["byte"]
+    return bytes(out)
+
+
+def _passes(bloom: bytes, x: Column) -> Column:
+    def one(y: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(F.lit(bloom), F.pmod(y, F.lit(len(bloom))).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.call_function("shiftright", byte, F.pmod(F.shiftright(y, 40), F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return one(x) & one(F.xxhash64(x))
+
+
+def _by_shuffle(own: DataFrame, grams: DataFrame, kinds: list[tuple]) -> DataFrame:
+    """Windows whose keys pass the Bloom filter are joined with the benchmark's on their words' SHA-256."""
+    kind, found = "array<struct<start:int,length:int,digest:string>>", [F.array().cast("array<struct<start:int,length:int,digest:string>>")]
+    for head in sorted({k[0] for k in kinds}):
+        many = sum(k[2] for k in kinds if k[0] == head)
+        bloom = _bloom(grams.where(F.col("head") == head).select("hash"), min(MOST_BITS, 1 << max(10, (BITS * many - 1).bit_length())))
+        passing = F.transform(_run_hashes(F.col("h"), head), lambda x, i: F.when(_passes(bloom, x), i))  # noqa: B023
+        own = own.withColumn(f"at{head}", F.filter(passing, lambda i: i.isNotNull()))
+        for length in (k[1] for k in kinds if k[0] == head):
+            fit = F.filter(f"at{head}", lambda i: i + length <= F.size("ws"))  # noqa: B023
+            found.append(F.transform(fit, lambda i: F.struct(i.cast("int").alias("start"), F.lit(length).alias("length"), F.sha2(F.array_join(F.slice("ws", i + 1, length), " "), 256).alias("digest"))).cast(kind))  # noqa: B023
+    windows = own.withColumn("found", _once(F.concat(*found))).select("key", F.size("ws").cast("bigint").alias("n_words"), F.explode("found").alias("w"))
+    windows = windows.select("key", "n_words", "w.*", F.pmod(F.xxhash64("key"), F.lit(SALTS)).alias("salt"))
+    items = grams.select("length", F.sha2("words", 256).alias("digest"), "items", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
+    return windows.join(items, ["length", "digest", "salt"]).select("key", "n_words", "start", "length", "items")
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
@@ -137,17 +161,19 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
     return (n_hit > 0) & (n_hit * 20 >= n_words)
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
+def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = N, max_windows: int = 100_000, few: int = FEW) -> DataFrame:
     """``docs`` without the contaminated ones; columns as before. See ``scan`` for edge cases."""
-    out = scan(docs.withColumn("__all", F.struct(*docs.columns)), benchmark, text, **how)
-    return out.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))).select("__all.*")
+    found = _found(docs.select(F.col(text).alias("text")), benchmark, item, item_text, n, max_windows)
+    bad = _near(found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select("key", "hits", "items"), few)
+    rows = docs.select(F.struct("*").alias("row")).withColumn("key", _key(F.col("row")[text]))
+    return rows.join(bad.select("key"), "key", "left_anti").select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "clean_text", **how) -> DataFrame:
     """Adds ``out``: the text's words outside of all hits, space-joined and lower-cased, or the text itself if none is hit."""
-    seen = scan(docs, benchmark, text, **how).withColumn("__hit", F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1)))))
-    left = F.filter(words(F.col(text)), lambda x, i: ~F.array_contains("__hit", i))
-    return seen.withColumn(out, F.when(F.col("n_hit") > 0, F.array_join(left, " ")).otherwise(F.col(text))).drop("__hit")
+    hit = F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1))))
+    left = F.array_join(F.get(F.transform(F.array(hit), lambda own: F.filter(words(F.col(text)), lambda x, i: ~F.array_contains(own, i))), F.lit(0)), " ")
+    return scan(docs, benchmark, text, **how).withColumn(out, F.when(F.col("n_hit") > 0, left).otherwise(F.col(text)))
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
