@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import html
 import json
 import os
@@ -31,7 +32,8 @@ class Store:
 
 
 def _sidecar(artifact: Path) -> Path:
-    return artifact.with_name(artifact.name + ".meta.json")
+    hidden = "." if "=" in artifact.name else ""  # beside a partition, where Spark would read it
+    return artifact.with_name(f"{hidden}{artifact.name}.meta.json")
 
 
 def _state(path: Path) -> str:
@@ -73,18 +75,39 @@ def read_json(path: Path) -> object:
     return json.loads(path.read_text())
 
 
-def register_composite(catalogue: Path, tile: str, range_idx: int, **properties: object) -> bool:
-    """Adds or replaces an item by tile and range; returns whether anything changed. A catalogue that can't be read is begun anew."""
+@contextlib.contextmanager
+def locked(path: Path, patience: float = 60.0):
+    """Holds a file's lock, a file of its own beside it; of two writers the second waits. TimeoutError after ``patience`` seconds."""
+    lock = path.with_name(f".{path.name}.lock")
+    lock.parent.mkdir(parents=True, exist_ok=True)
+    end = time.monotonic() + patience
+    while True:
+        try:
+            os.close(os.open(lock, os.O_CREAT | os.O_EXCL))
+            break
+        except FileExistsError:
+            if time.monotonic() > end:
+                raise TimeoutError(f"{lock} is held by another writer") from None
+            time.sleep(0.02)
     try:
-        items = read_json(catalogue)
-        items = items if isinstance(items, dict) else {}
-    except (OSError, ValueError):
-        items = {}
-    key, item = f"{tile}_range{range_idx}", _plain({"tile": tile, "range_idx": range_idx, **properties})
-    if items.get(key) == item:
-        return False
-    write_json(items | {key: item}, catalogue)
-    return True
+        yield
+    finally:
+        lock.unlink(missing_ok=True)
+
+
+def register_composite(catalogue: Path, tile: str, range_idx: int, **properties: object) -> bool:
+    """Adds or replaces an item by tile and range, under a lock; returns whether anything changed. A catalogue that can't be read is begun anew."""
+    with locked(catalogue):
+        try:
+            items = read_json(catalogue)
+            items = items if isinstance(items, dict) else {}
+        except (OSError, ValueError):
+            items = {}
+        key, item = f"{tile}_range{range_idx}", _plain({"tile": tile, "range_idx": range_idx, **properties})
+        if items.get(key) == item:
+            return False
+        write_json(items | {key: item}, catalogue)
+        return True
 
 
 def composites(spark: SparkSession, catalogue: Path) -> DataFrame:

@@ -17,7 +17,7 @@ COMMANDS = {
     "pack-chips": ("number chips for readers by position", ()),
     "train": ("fit the pixel model", ("run_id",)),
     "clean-negatives": ("mark negatives that look like solar", ("run_id", "model_ckpt")),
-    "embed-screen": ("candidate windows from embeddings", ("run_id", "tiles", "model_ckpt")),
+    "embed-screen": ("candidate windows from embeddings", ("tiles",)),
     "infer": ("score windows with buildings", ("run_id", "tiles", "model_ckpt")),
     "postprocess": ("predicted solar, statistics, what the map lacks", ("run_id",)),
     "report": ("the map", ("run_id",)),
@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         "pack-chips": lambda: stages.pack_chips(r),
         "train": lambda: stages.train(r, run_id),
         "clean-negatives": lambda: stages.clean_negatives(r, run_id, model),
-        "embed-screen": lambda: stages.embed_screen(r),
+        "embed-screen": lambda: stages.embed_screen(r, tiles),
         "infer": lambda: stages.infer(r, run_id, tiles, model),
         "postprocess": lambda: stages.finish(r, run_id),
         "report": lambda: print(stages.report(r, run_id)),

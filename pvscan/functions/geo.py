@@ -59,6 +59,55 @@ def box_area_m2(west: Column, south: Column, east: Column, north: Column) -> Col
     return (equal_area_x(east) - equal_area_x(west)) * (equal_area_y(north) - equal_area_y(south))
 
 
+def planar_area(shape: Column) -> Column:
+    """Area of a geometry in its own plane; holes don't count."""
+    polygon = lambda poly: F.aggregate(F.transform(poly, lambda ring, i: F.when(i == 0, _ring_area(ring)).otherwise(-_ring_area(ring))), F.lit(0.0), lambda s, x: s + x)
+    return F.aggregate(F.transform(shape, polygon), F.lit(0.0), lambda s, x: s + x)
+
+
+def _half(ring: Column, axis: str, bound: Column, sign: int) -> Column:
+    """The part of a ring where sign * coordinate <= sign * bound, by walking its edges."""
+    other = "y" if axis == "x" else "x"
+    inside = lambda p: (p[axis] <= bound) if sign > 0 else (p[axis] >= bound)
+
+    def edge(p: Column, i: Column) -> Column:
+        def walked(q: Column) -> Column:
+            t = (bound - p[axis]) / (q[axis] - p[axis])
+            cut = {axis: bound.cast("double"), other: p[other] + t * (q[other] - p[other])}
+            return F.array(F.when(inside(p), p), F.when(inside(p) != inside(q), F.struct(cut["x"].alias("x"), cut["y"].alias("y"))))
+
+        return F.get(F.transform(F.array(F.get(ring, (i + 1) % F.size(ring))), walked), 0)
+
+    return F.filter(F.flatten(F.transform(ring, edge)), lambda p: p.isNotNull())
+
+
+def clipped_area(shape: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Area of the part of a geometry inside a box, in its own plane: each ring is cut at the box's four sides."""
+    step = lambda value, then: F.get(F.transform(F.array(value), then), 0)
+
+    def ring_area(ring: Column) -> Column:
+        def area(r: Column) -> Column:
+            return F.when(F.size(r) >= 3, _ring_area(r)).otherwise(0.0)
+
+        return step(_half(ring, "x", x1, -1), lambda a: step(_half(a, "x", x2, 1), lambda b: step(_half(b, "y", y1, -1), lambda c: step(_half(c, "y", y2, 1), area))))
+
+    polygon = lambda poly: F.aggregate(F.transform(poly, lambda ring, i: F.when(i == 0, ring_area(ring)).otherwise(-ring_area(ring))), F.lit(0.0), lambda s, x: s + x)
+    return F.aggregate(F.transform(shape, polygon), F.lit(0.0), lambda s, x: s + x)
+
+
+def covers_point(shape: Column, x: Column, y: Column) -> Column:
+    """Whether a point is inside a geometry: even-odd rule over the rings of each polygon. Points on a border count for the polygon above or right of it."""
+
+    def crossings(ring: Column) -> Column:
+        def crossed(p: Column, i: Column) -> Column:
+            q = F.get(ring, (i + 1) % F.size(ring))
+            return F.when(((p["y"] > y) != (q["y"] > y)) & (x < p["x"] + (y - p["y"]) / (q["y"] - p["y"]) * (q["x"] - p["x"])), 1).otherwise(0)
+
+        return F.aggregate(F.transform(ring, crossed), F.lit(0), lambda s, k: s + k)
+
+    return F.exists(shape, lambda poly: F.aggregate(F.transform(poly, crossings), F.lit(0), lambda s, k: s + k) % 2 == 1)
+
+
 def box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     return F.array(F.array(F.array(p(x1, y1), p(x2, y1), p(x2, y2), p(x1, y2), p(x1, y1))))

@@ -138,6 +138,45 @@ def distance(a: list[list[Ring]], b: list[list[Ring]]) -> float:
     return min(one_way(ea[:, :2], eb), one_way(eb[:, :2], ea))
 
 
+def joined(a: list[list[Ring]], b: list[list[Ring]]) -> bool:
+    """Whether two geometries overlap or share a piece of border, not only points."""
+    for p in a:
+        for q in b:
+            if _share_border(_edges(p), _edges(q)) or (_segments_meet(_edges(p), _edges(q)) and intersection_area([p], [q]) > 0):
+                return True
+            if points_in_polygon(p[0][:1], q).any() or points_in_polygon(q[0][:1], p).any():
+                return True
+    return False
+
+
+def _share_border(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether some edges lie on one line and overlap in more than a point."""
+    p, q = a[:, None, :], b[None, :, :]
+    dx, dy = p[..., 2] - p[..., 0], p[..., 3] - p[..., 1]
+    on = lambda i, j: dx * (q[..., j] - p[..., 1]) - dy * (q[..., i] - p[..., 0]) == 0
+    along = lambda i, j: (q[..., i] - p[..., 0]) * dx + (q[..., j] - p[..., 1]) * dy
+    t, u, size = along(0, 1), along(2, 3), dx * dx + dy * dy
+    return bool((on(0, 1) & on(2, 3) & (np.minimum(np.maximum(t, u), size) > np.maximum(np.minimum(t, u), 0))).any())
+
+
+class Prepared:
+    """One large geometry that many small ones are tested against."""
+
+    def __init__(self, geom: list[list[Ring]]) -> None:
+        self.polygons, self.edges = geom, [_edges(p) for p in geom]
+
+    def intersects(self, other: list[list[Ring]]) -> bool:
+        points = np.concatenate([r for p in other for r in p])
+        (w, s), (e, n) = points.min(0), points.max(0)
+        for polygon, own in zip(self.polygons, self.edges, strict=True):
+            near = own[(np.maximum(own[:, 0], own[:, 2]) >= w) & (np.minimum(own[:, 0], own[:, 2]) <= e) & (np.maximum(own[:, 1], own[:, 3]) >= s) & (np.minimum(own[:, 1], own[:, 3]) <= n)]
+            if any(points_in_polygon(p[0][:1], polygon).any() for p in other):
+                return True
+            if len(near) and any(_segments_meet(_edges(p), near) or points_in_polygon(near[:1, :2], p).any() for p in other):
+                return True
+        return False
+
+
 def representative_point(polygon: list[Ring]) -> tuple[float, float]:
     """A point surely inside: the middle of the widest span half way up."""
     ys = polygon[0][:, 1]
@@ -164,6 +203,11 @@ def geom_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([distance(rings(x), rings(y)) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+@F.pandas_udf(BooleanType())
+def geom_joined(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([joined(rings(x), rings(y)) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+
 #: Third flattening of WGS 84, scale and false origin of UTM, and the grid's letters (fixed values).
 _N = 1 / (2 * 298.257223563 - 1)
 _SCALE, _FALSE_E, _FALSE_N = 0.9996, 500_000.0, 10_000_000.0

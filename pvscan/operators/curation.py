@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,14 +23,45 @@ def split_blocks(blocks: list[int], train: float, val: float, seed: int) -> dict
     return {int(x): "train" if i < a else "val" if i < a + b else "test" for i, x in enumerate(own)}
 
 
-def assign_splits(chips: DataFrame, x: Column, y: Column, km: float, train: float = 0.7, val: float = 0.15, seed: int = 42, most_blocks: int = 1_000_000) -> DataFrame:
-    """``chips`` with block and split: spatial blocks of ``km`` are never divided. Blocks are collected, ``most_blocks`` at most."""
+#: Modulus of the order of blocks; a prime other than the factor in their ids.
+_BLOCKS = (1 << 31) - 1
+
+
+def block_order(block: Column, seed: int) -> Column:
+    """A documented arithmetic shuffle of blocks: the same in any engine."""
+    return F.pmod(block * 48271 + F.lit(seed * 104_729), F.lit(_BLOCKS))
+
+
+def assign_splits(chips: DataFrame, x: Column, y: Column, km: float, train: float = 0.7, val: float = 0.15, seed: int = 42, order: str = "hashed") -> DataFrame:
+    """``chips`` with block and split: spatial blocks of ``km`` are never divided.
+
+    ``hashed`` takes blocks in the arithmetic order and numbers them by ranges, so there may be any number of them. ``shuffled`` takes numpy's seeded
+    permutation, which needs them on the driver: a block of 25 km is one of fewer than a million on Earth.
+    """
     own = chips.withColumn("block", block_id(x, y, km))
-    blocks = [r[0] for r in own.select("block").distinct().limit(most_blocks + 1).collect()]
-    if len(blocks) > most_blocks:
-        raise ValueError(f"more than {most_blocks} blocks; take larger ones")
-    table = own.sparkSession.createDataFrame(sorted(split_blocks(blocks, train, val, seed).items()), "block long, split string")
-    return own.join(F.broadcast(table), "block")
+    blocks = own.select("block").distinct()
+    if order == "shuffled":
+        table = own.sparkSession.createDataFrame(sorted(split_blocks([r[0] for r in blocks.collect()], train, val, seed).items()), "block long, split string")
+        return own.join(table, "block")
+    if order != "hashed":
+        raise ValueError(f"unknown order {order!r}")
+    from pvscan.operators.labels import with_building_id
+
+    placed = with_building_id(blocks.withColumn("at", block_order(F.col("block"), seed)), ["at", "block"])
+    a, b = split_sizes(placed.count(), train, val)
+    k = F.col("building_id")
+    table = placed.select("block", F.when(k < a, "train").when(k < a + b, "val").otherwise("test").alias("split"))
+    return own.join(table, "block")
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """How often each value of a column occurs, most frequent first."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+
+
+def all_in(few: DataFrame, many: DataFrame, key: str) -> bool:
+    """Whether every value of ``key`` in ``few`` is in ``many``."""
+    return few.select(key).distinct().join(many.select(key).distinct(), key, "left_anti").isEmpty()
 
 
 def hashed_order(key: Column, seed: int) -> Column:
@@ -64,7 +93,7 @@ def drop_cleaned_out(index: DataFrame) -> DataFrame:
 
 
 def chip_pool(regions: dict[str, DataFrame], channels: int | None = None) -> DataFrame:
-    """Regions' chip indexes in one table with region and a row number of the region's packed file, marked ones dropped after numbering.
+    """Regions' chip indexes in one table with region; marked chips are left out, and a packed file's row numbers (h5_row) stay as they were given before.
 
     A region without an index (None) or with another number of channels raises ValueError.
     """
@@ -125,11 +154,24 @@ def stride(patch: int, fraction: float) -> int:
     return max(1, round(patch * fraction))
 
 
-def jittered_corner(row: float, col: float, patch: int, rng: np.random.Generator) -> tuple[int, int]:
-    """Upper left pixel of a window around a point, moved by up to a quarter of its side: rows are drawn first."""
+def jittered_corner(row: Column, col: Column, patch: int, name: Column, seed: int) -> tuple[Column, Column]:
+    """Upper left pixel of a window around a point, moved by up to a quarter of its side, by a hash of the chip's name."""
     reach = patch // 4
-    dr, dc = (int(rng.integers(-reach, reach + 1)) for _ in range(2))
-    return math.floor(row) + dr - patch // 2, math.floor(col) + dc - patch // 2
+    by = lambda axis: F.pmod(F.xxhash64(F.lit(seed), name, F.lit(axis)), F.lit(2 * reach + 1)) - reach
+    corner = lambda at, axis: (F.floor(at) + by(axis) - patch // 2).cast("bigint")
+    return corner(row, 0), corner(col, 1)
+
+
+def pooled(pixels: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """Each window's embedding by global average pooling: the mean of each channel over its pixels."""
+    return pixels.groupBy(*keys).agg(F.array(*[F.avg(F.col(b).cast("double")) for b in bands]).alias("embedding"))
+
+
+def sliding(pixels: DataFrame, keys: list[str], patch: int, step: int) -> DataFrame:
+    """``pixels`` with row and col of each window of ``patch`` pixels, one every ``step``, that holds them: a pixel is repeated for each."""
+    span = lambda c: F.sequence(F.greatest(F.ceil((F.col(c) - patch + 1) / step), F.lit(0)), F.floor(F.col(c) / step))
+    own = pixels.withColumn("row", F.explode(span("r"))).withColumn("col", F.explode(span("c")))
+    return own.withColumn("row", (F.col("row") * step).cast("bigint")).withColumn("col", (F.col("col") * step).cast("bigint"))
 
 
 def augmented(image: np.ndarray, mask: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:

@@ -59,15 +59,23 @@ def label_groups(solar: DataFrame, buildings: DataFrame, key: str = "osm_id", bu
 
 
 def union_area(boxes: np.ndarray) -> float:
-    """Area of the union of boxes (rows x1, y1, x2, y2), by compressed coordinates."""
-    xs, ys = np.unique(boxes[:, [0, 2]]), np.unique(boxes[:, [1, 3]])
-    mid_x, mid_y = (xs[1:] + xs[:-1]) / 2, (ys[1:] + ys[:-1]) / 2
-    if not len(mid_x) or not len(mid_y):
+    """Area of the union of boxes (rows x1, y1, x2, y2): a sweep along x keeps how many boxes cover each interval of y."""
+    boxes = boxes[(boxes[:, 2] > boxes[:, 0]) & (boxes[:, 3] > boxes[:, 1])]
+    if not len(boxes):
         return 0.0
-    inside = np.zeros((len(mid_x), len(mid_y)), bool)
-    for x1, y1, x2, y2 in boxes:
-        inside |= ((mid_x > x1) & (mid_x < x2))[:, None] & ((mid_y > y1) & (mid_y < y2))[None, :]
-    return float((np.diff(xs)[:, None] * np.diff(ys)[None, :] * inside).sum())
+    ys = np.unique(boxes[:, [1, 3]])
+    heights, covered = np.diff(ys), np.zeros(len(ys) - 1, np.int64)
+    lo, hi = np.searchsorted(ys, boxes[:, 1]), np.searchsorted(ys, boxes[:, 3])
+    x = np.concatenate([boxes[:, 0], boxes[:, 2]])
+    order = np.argsort(x, kind="stable")
+    total, last = 0.0, x[order[0]]
+    for k in order.tolist():
+        if x[k] > last:
+            total += (x[k] - last) * heights[covered > 0].sum()
+            last = x[k]
+        own = k % len(boxes)
+        covered[lo[own] : hi[own]] += 1 if k < len(boxes) else -1
+    return float(total)
 
 
 @F.pandas_udf(DoubleType())

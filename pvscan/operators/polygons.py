@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pvscan.functions import geo, kernels
 from pvscan.operators import spatial
+from pvscan.operators.graph import components
 
 
 def with_boxes(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -40,6 +41,13 @@ def free_of(left: DataFrame, right: DataFrame, keys: tuple[str, str], metres: fl
     return left.join(hit, keys[0], "left_anti")
 
 
+def clusters(df: DataFrame, key: str) -> DataFrame:
+    """``key`` and root: shapes that overlap or share more than a point of their borders, directly or through others, have one root."""
+    met = _pairs(df, df, (key, key), 128.0).where(F.col(f"l_{key}") < F.col(f"r_{key}")).where(kernels.geom_joined("l_shape", "r_shape"))
+    linked = components(met.select(F.col(f"l_{key}").alias("a"), F.col(f"r_{key}").alias("b")))
+    return df.select(key).join(linked.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("root", key).alias("root"))
+
+
 def dissolved(df: DataFrame, group: str, order: str, any_of: list[str] = (), first: list[str] = ()) -> DataFrame:
     """One row of each group: its polygons together, area_m2 of their union, flags or-ed, other columns from the first member."""
     area = F.pandas_udf(lambda s: s.map(lambda polys: kernels.union_area(kernels.rings(polys))), "double")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pvscan.operators import spatial
+from pvscan.functions import geo
+from pvscan.operators import polygons, spatial
 
 
 def building_solar_stats(buildings: DataFrame, predicted: DataFrame, solar: DataFrame | None, min_coverage: float, key: str = "building_id") -> DataFrame:
@@ -19,6 +20,24 @@ def building_solar_stats(buildings: DataFrame, predicted: DataFrame, solar: Data
     return own.withColumn("osm_has_solar", F.lit(False)) if solar is None else spatial.marked(own, solar, key, "osm_has_solar")
 
 
+def shape_solar_stats(buildings: DataFrame, predicted: DataFrame, solar: DataFrame | None, min_coverage: float, key: str = "building_id", solar_key: str = "osm_id") -> DataFrame:
+    """The same by shapes: ``buildings`` and ``solar`` have shape and its box; ``predicted`` has comp, prob and disjoint boxes, as many as a component needs.
+
+    What a building shares with a component is the area of its shape inside the component's boxes; mean_prob is over components.
+    Areas are those of the shapes' plane.
+    """
+    parts = spatial.box_pairs(buildings.select(key, "shape", *spatial.BOX), predicted.select("comp", "prob", *spatial.BOX))
+    part = geo.clipped_area(F.col("l_shape"), *[F.col(f"r_{c}") for c in spatial.BOX])
+    each = parts.withColumn("part", part).where("part > 0").groupBy(F.col(f"l_{key}").alias(key), "r_comp").agg(F.sum("part").alias("part"), F.first("r_prob").alias("prob"))
+    by = each.groupBy(key).agg(F.sum("part").alias("pred_solar_m2"), F.avg("prob").alias("mean_prob"))
+    own = buildings.withColumn("area_m2", geo.planar_area(F.col("shape"))).join(by, key, "left").fillna(0.0, ["pred_solar_m2", "mean_prob"])
+    own = own.withColumn("coverage", F.coalesce(F.try_divide("pred_solar_m2", "area_m2"), F.lit(0.0))).withColumn("has_solar", F.col("coverage") >= min_coverage)
+    if solar is None:
+        return own.withColumn("osm_has_solar", F.lit(False))
+    hit = polygons.intersecting(buildings, solar, (key, solar_key)).select(F.col(f"l_{key}").alias(key)).distinct().withColumn("osm_has_solar", F.lit(True))
+    return own.join(hit, key, "left").withColumn("osm_has_solar", F.coalesce("osm_has_solar", F.lit(False)))
+
+
 def missing_in_osm(stats: DataFrame, key: str = "building_id") -> DataFrame:
     """Buildings with solar that the map lacks, most confident first: coverage (1 at most) times mean probability."""
     own = stats.where("has_solar and not osm_has_solar")

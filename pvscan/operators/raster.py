@@ -8,8 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pvscan.functions import geo
 from pvscan.operators import spatial
-from pvscan.operators.graph import components
+from pvscan.operators.graph import components, united
+from pvscan.scratch import written
 
 #: Scene classes that count as clear (fixed values).
 CLEAR = (4, 5, 6, 7)
@@ -55,17 +57,40 @@ def windows(height: int, width: int, patch: int, stride: int | None = None) -> l
     return [(r, c) for r in range(0, height, stride or patch) for c in range(0, width, stride or patch)]
 
 
-def roi_windows(boxes: DataFrame, patch: int, height: int, width: int, buffer: float = 0.0, pixel: float = 1.0) -> DataFrame:
-    """Distinct windows (row, col: of the upper left pixel) that touch a box grown by ``buffer``; coordinates in metres, y down.
+def roi_windows(boxes: DataFrame, patch: int, height: int | Column, width: int | Column, buffer: float = 0.0, pixel: float = 1.0, keys: list[str] = ()) -> DataFrame:
+    """Distinct windows (keys, row, col: of the upper left pixel) that touch a box grown by ``buffer``; coordinates in metres, y down.
 
-    Each box names the windows it covers; no window is tested against all boxes.
+    Each box names the windows it covers; no window is tested against all boxes. ``height`` and ``width`` of the raster may be columns of ``boxes``.
     """
     size = patch * pixel
-    span = lambda lo, hi, most: F.sequence(F.greatest(F.ceil((F.col(lo) - buffer) / size) - 1, F.lit(0)), F.least(F.floor((F.col(hi) + buffer) / size), F.lit((most - 1) // patch)))
-    inside = (F.col("x2") + buffer >= 0) & (F.col("y2") + buffer >= 0) & (F.col("x1") - buffer <= width * pixel) & (F.col("y1") - buffer <= height * pixel)
-    ok = (F.ceil((F.col("x1") - buffer) / size) - 1 <= (width - 1) // patch) & (F.ceil((F.col("y1") - buffer) / size) - 1 <= (height - 1) // patch)
-    own = boxes.where(inside & ok).select(F.explode(span("y1", "y2", height)).alias("i"), F.col("x1"), F.col("x2")).select("i", F.explode(span("x1", "x2", width)).alias("j"))
-    return own.select((F.col("i") * patch).cast("bigint").alias("row"), (F.col("j") * patch).cast("bigint").alias("col")).distinct()
+    boxes = boxes.withColumn("height", height if isinstance(height, Column) else F.lit(height)).withColumn("width", width if isinstance(width, Column) else F.lit(width))
+    first = lambda lo: F.greatest(F.ceil((F.col(lo) - buffer) / size) - 1, F.lit(0))
+    last = lambda hi, most: F.least(F.floor((F.col(hi) + buffer) / size), F.floor((F.col(most) - 1) / patch))
+    inside = (F.col("x2") + buffer >= 0) & (F.col("y2") + buffer >= 0) & (F.col("x1") - buffer <= F.col("width") * pixel) & (F.col("y1") - buffer <= F.col("height") * pixel)
+    own = boxes.where(inside & (first("x1") <= last("x2", "width")) & (first("y1") <= last("y2", "height")))
+    own = own.select(*keys, F.explode(F.sequence(first("y1"), last("y2", "height"))).alias("i"), "x1", "x2", "width")
+    own = own.select(*keys, "i", F.explode(F.sequence(first("x1"), last("x2", "width"))).alias("j"))
+    return own.select(*keys, (F.col("i") * patch).cast("bigint").alias("row"), (F.col("j") * patch).cast("bigint").alias("col")).distinct()
+
+
+def cut_windows(windows_: DataFrame, pixels: DataFrame, keys: list[str], patch: int) -> DataFrame:
+    """The pixels in each of ``windows_`` (keys, row, col and others; they may overlap and lie at any pixel), with k: the place in the window.
+
+    A window and a pixel meet by the block of ``patch`` pixels that the pixel is in; a window touches four at most. What lies beyond the raster has no row.
+    """
+    block = lambda c: F.floor(F.col(c) / patch)
+    both = lambda c: F.explode(F.array_distinct(F.array(block(c), F.floor((F.col(c) + patch - 1) / patch))))
+    wide = windows_.withColumn("br", both("row")).withColumn("bc", both("col"))
+    own = wide.join(pixels.withColumn("br", block("r")).withColumn("bc", block("c")), [*keys, "br", "bc"])
+    dr, dc = F.col("r") - F.col("row"), F.col("c") - F.col("col")
+    return own.where((dr >= 0) & (dr < patch) & (dc >= 0) & (dc < patch)).withColumn("k", (dr * patch + dc).cast("int")).drop("br", "bc")
+
+
+def shape_pixels(shapes: DataFrame, keys: list[str], pixel: float) -> DataFrame:
+    """Pixels (keys, r, c; r down from y = 0) whose centre is inside a shape: the mask of ``shapes`` (keys, shape and its box in metres, y up)."""
+    at = lambda lo, hi: F.sequence(F.floor(lo / pixel).cast("long"), F.floor(hi / pixel).cast("long"))
+    own = shapes.withColumn("r", F.explode(at(-F.col("y2"), -F.col("y1")))).withColumn("c", F.explode(at(F.col("x1"), F.col("x2"))))
+    return own.where(geo.covers_point(F.col("shape"), (F.col("c") + 0.5) * pixel, -(F.col("r") + 0.5) * pixel)).select(*keys, "r", "c").distinct()
 
 
 def nodata_share(pixels: DataFrame, keys: list[str], patch: int) -> DataFrame:
@@ -90,38 +115,37 @@ def mask_counts(boxes: DataFrame, key: str, patch: int) -> DataFrame:
 
 
 def _local_components(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Union-find of one block's pixels by the four neighbours; a component is named by its least id."""
-    place = {(r, c): k for k, (r, c) in enumerate(zip(pdf.r.tolist(), pdf.c.tolist(), strict=True))}
-    up = list(range(len(pdf)))
-
-    def find(k: int) -> int:
-        while up[k] != k:
-            up[k] = up[up[k]]
-            k = up[k]
-        return k
-
-    for (r, c), k in place.items():
-        for near in ((r + 1, c), (r, c + 1)):
-            if near in place:
-                up[find(k)] = find(place[near])
-    roots = np.array([find(k) for k in range(len(pdf))])
-    ids = pdf.id.to_numpy()
-    least = np.full(len(pdf), np.iinfo(np.int64).max)
-    np.minimum.at(least, roots, ids)
-    return pdf.assign(local=least[roots])[["id", "r", "c", "local"]]
-
-
-def pixel_components(pixels: DataFrame, block: int = 256) -> DataFrame:
-    """``pixels`` (id, r, c, ...) with comp: the least id of its four-connected component.
+    """Components of one block's pixels by the four neighbours; a component is named by its least id."""
+    pdf = pdf.sort_values("id", ignore_index=True)
+    r, c = pdf.r.to_numpy(), pdf.c.to_numpy()
+    wide = int(c.max() - c.min()) + 2
+    place = (r - r.min()) * wide + (c - c.min())
+    order = np.argsort(place)
+    own = place[order]
+    edges = []
+    for step in (1, wide):
+        at = np.minimum(np.searchsorted(own, own + step), len(own) - 1)
+        hit = own[at] == own + step
+        edges.append((order[hit], order[at[hit]]))
+    node, root = united(*(np.concatenate(x) for x in zip(*edges, strict=True)))
+    local = np.arange(len(pdf))
+    local[node] = root
+    return pdf.assign(local=pdf.id.to_numpy()[local])[[x for x in pdf.columns if x not in ("br", "bc")] + ["local"]]
+
+
+def pixel_components(pixels: DataFrame, block: int = 256, keys: list[str] = ()) -> DataFrame:
+    """``pixels`` (id, r, c, ...) with comp: the least id of its four-connected component, among pixels of equal ``keys``.
 
     Blocks of ``block`` pixels square are labelled by themselves; components that meet across block edges
-    are joined through a graph of their labels.
+    are joined through a graph of their labels. Ids are unique, also between keys.
     """
-    own = pixels.select("id", "r", "c").withColumn("br", F.floor(F.col("r") / block)).withColumn("bc", F.floor(F.col("c") / block))
-    local = own.groupBy("br", "bc").applyInPandas(_local_components, "id long, r long, c long, local long")
+    own = pixels.select("id", "r", "c", *keys).withColumn("br", F.floor(F.col("r") / block)).withColumn("bc", F.floor(F.col("c") / block))
+    own = own.select("id", F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), *keys, "br", "bc")
+    named = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields if f.name not in ("br", "bc"))
+    local = own.groupBy(*keys, "br", "bc").applyInPandas(_local_components, f"{named}, local long")
     edge = local.where((F.pmod("r", F.lit(block)) == 0) | (F.pmod("c", F.lit(block)) == 0) | (F.pmod("r", F.lit(block)) == block - 1) | (F.pmod("c", F.lit(block)) == block - 1))
-    steps = edge.select(F.col("local").alias("a"), F.explode(F.array(F.struct((F.col("r") + 1).alias("r"), F.col("c").alias("c")), F.struct(F.col("r").alias("r"), (F.col("c") + 1).alias("c")))).alias("n")).select("a", "n.r", "n.c")
-    seams = steps.join(edge.select("r", "c", F.col("local").alias("b")), ["r", "c"]).where("a <> b").select("a", "b")
+    steps = edge.select(*keys, F.col("local").alias("a"), F.explode(F.array(F.struct((F.col("r") + 1).alias("r"), F.col("c").alias("c")), F.struct(F.col("r").alias("r"), (F.col("c") + 1).alias("c")))).alias("n")).select(*keys, "a", "n.r", "n.c")
+    seams = steps.join(edge.select(*keys, "r", "c", F.col("local").alias("b")), [*keys, "r", "c"]).where("a <> b").select("a", "b")
     joined = components(seams)
     label = local.join(joined.withColumnRenamed("node", "local"), "local", "left").select("id", F.coalesce("root", "local").alias("comp"))
     return pixels.join(label, "id")
@@ -134,31 +158,50 @@ def predicted_solar(pixels: DataFrame, threshold: float, min_pixels: int = 1, bl
     return each.where(F.col("n_pixels") >= min_pixels)
 
 
-def merged_predictions(boxes: DataFrame, key: str, min_area: float) -> DataFrame:
-    """Predicted boxes of all tiles and dates joined where they overlap or share an edge: root, mean_prob (of the parts), area_m2."""
-    from pvscan.operators.labels import _union_area, clusters
+def pixel_runs(pixels: DataFrame, keys: list[str]) -> DataFrame:
+    """Runs of neighbouring pixels in a row as boxes: keys, x1, y1, x2, y2 (of one-metre pixels). Together they are the pixels, each once."""
+    along = Window.partitionBy(*keys, "r").orderBy("c")
+    own = pixels.select(*keys, "r", "c").distinct().withColumn("run", F.col("c") - F.row_number().over(along))
+    return own.groupBy(*keys, "r", "run").agg(F.min("c").alias("x1"), F.col("r").alias("y1"), (F.max("c") + 1).alias("x2"), (F.col("r") + 1).alias("y2")).drop("r", "run")
 
-    own = boxes.join(clusters(boxes, key), key)
-    out = own.groupBy("root").agg(F.avg("prob").alias("mean_prob"), F.collect_list(F.struct(*spatial.BOX)).alias("boxes"))
-    return out.withColumn("area_m2", _union_area("boxes")).drop("boxes").where(F.col("area_m2") >= min_area)
 
+def merged_predictions(hot: DataFrame, part: str, least_pixels: float = 0, block: int = 256) -> tuple[DataFrame, DataFrame]:
+    """Hot pixels (part, r, c, p) of all tiles and dates as components of their union.
 
-def score_windows(pixels: DataFrame, chosen: DataFrame, patch: int, scorer, bands: list[str]) -> DataFrame:
-    """Probability of each pixel in the chosen windows: r, c, prob.
+    Returns comp, mean_prob and n_pixels of those of ``least_pixels`` or more, and their runs (comp and boxes of one-metre pixels).
+    Components of each part have the mean of their pixels; the mean of a union is that of the parts' components in it. ``part`` is a small integer;
+    rows and columns are within four million of 0.
+    """
+    place = lambda c: (F.col(c) + (1 << 22)).cast("long")
+    at = F.shiftleft(place("r"), 23) + place("c")
+    own = hot.groupBy(part, "r", "c").agg(F.max("p").alias("p"))
+    each = pixel_components(own.withColumn("id", F.shiftleft(F.col(part).cast("long"), 46) + at), block, [part]).select("r", "c", "p", F.col("comp").alias("own"))
+    each = written(each, "hot")
+    whole = pixel_components(each.select("r", "c").distinct().withColumn("id", at), block).select("r", "c", "comp")
+    both = written(each.join(whole, ["r", "c"]), "hot")
+    parts = both.groupBy("comp", "own").agg(F.avg("p").alias("mean"))
+    sizes = both.select("comp", "r", "c").distinct().groupBy("comp").agg(F.count("*").alias("n_pixels")).where(F.col("n_pixels") >= least_pixels)
+    merged = parts.groupBy("comp").agg(F.avg("mean").alias("mean_prob")).join(sizes, "comp")
+    return merged, pixel_runs(both.join(merged.select("comp"), "comp", "left_semi"), ["comp"])
+
+
+def score_windows(pixels: DataFrame, chosen: DataFrame, patch: int, scorer, bands: list[str], keys: list[str] = (), most_nodata: float | None = None) -> DataFrame:
+    """Probability of each pixel in the chosen windows: keys, r, c, prob.
 
     ``scorer`` maps an array (n, bands) of reflectances in 0..1 to probabilities; the windows are a semi-join
-    below it, so nothing else is scored.
+    below it, so nothing else is scored. A window of which more than ``most_nodata`` has no data (pixel absent, or all bands 0) is not scored.
     """
-    keyed = pixels.withColumn("row", F.floor(F.col("r") / patch) * patch).withColumn("col", F.floor(F.col("c") / patch) * patch)
-    own = keyed.join(chosen.select("row", "col"), ["row", "col"], "left_semi").select("r", "c", *bands)
+    keyed = pixels.withColumn("row", (F.floor(F.col("r") / patch) * patch).cast("bigint")).withColumn("col", (F.floor(F.col("c") / patch) * patch).cast("bigint"))
+    chosen = chosen.select(*keys, "row", "col")
+    if most_nodata is not None:
+        seen = keyed.join(chosen, [*keys, "row", "col"], "left_semi").groupBy(*keys, "row", "col").agg(F.count_if(F.greatest(*[F.col(b) for b in bands], F.lit(0)) > 0).alias("n"))
+        chosen = seen.where(1 - F.col("n") / float(patch * patch) <= most_nodata).select(*keys, "row", "col")
+    own = keyed.join(chosen, [*keys, "row", "col"], "left_semi").select(*keys, "r", "c", *bands)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             x = np.clip(pdf[bands].to_numpy(float) / 10_000, 0, 1)
-            yield pd.DataFrame({"r": pdf.r, "c": pdf.c, "prob": scorer(x)})
-
-    return own.mapInPandas(run, "r long, c long, prob double")
-
+            yield pdf[[*keys, "r", "c"]].assign(prob=scorer(x))
 
-def logistic(z: Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-z))
+    named = ", ".join(f"{k} {dict(own.dtypes)[k]}" for k in keys)
+    return own.mapInPandas(run, f"{named + ', ' if keys else ''}r long, c long, prob double")

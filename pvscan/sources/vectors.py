@@ -113,6 +113,52 @@ def clip_to(df: DataFrame, bounds: Bounds) -> DataFrame:
     return df.where(near).where(geom_intersects("geom", geo.box(*[F.lit(float(v)) for v in (w, s, e, n)])))
 
 
+def clip_to_boundary(df: DataFrame, boundary_: DataFrame) -> DataFrame:
+    """Rows whose geometry touches the boundary's shape; geometries stay whole.
+
+    The boundary's polygons are one region's: they are collected and broadcast, and rows outside of their box never reach them.
+    """
+    from pvscan.functions import kernels
+
+    rows = boundary_.select("geom").collect()
+    geometry = [p for row in rows for p in kernels.rings(row.geom)]
+    if not geometry:
+        return df.limit(0)
+    shared = df.sparkSession.sparkContext.broadcast(kernels.Prepared(geometry))
+    shells = [p[0] for p in geometry]
+    w, s = (float(min(r[:, i].min() for r in shells)) for i in (0, 1))
+    e, n = (float(max(r[:, i].max() for r in shells)) for i in (0, 1))
+
+    @F.pandas_udf("boolean")
+    def touches(geom):
+        return geom.map(lambda g: shared.value.intersects(kernels.rings(g)))
+
+    b = geo.bbox(F.col("geom"))
+    near = (b["x1"] <= e) & (b["x2"] >= w) & (b["y1"] <= n) & (b["y2"] >= s)
+    return df.where(near).where(touches("geom"))
+
+
+def dissolve_all(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """All geometries as one row: their polygons together, in a fixed order. No rows: one row without polygons."""
+    return df.agg(F.flatten(F.array_sort(F.collect_list(geom))).alias(geom))
+
+
+def in_degrees(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """``df``, if its geometries can be degrees (the only stored reference system); ValueError names how many can't."""
+    b = geo.bbox(F.col(geom))
+    bad = df.where((b["x1"] < -180) | (b["x2"] > 180) | (b["y1"] < -90) | (b["y2"] > 90)).count()
+    if bad:
+        raise ValueError(f"{bad} geometries are not in degrees")
+    return df
+
+
+def cells_of(boundary_: DataFrame, bounds: Bounds, step: float) -> DataFrame:
+    """Cells of the grid over the bounds that touch the boundary's shape: ix, iy, west, south, east, north."""
+    cells = geo.bbox_grid(boundary_.sparkSession, bounds, step)
+    own = cells.withColumn("geom", geo.box(*[F.col(c) for c in ("west", "south", "east", "north")]))
+    return clip_to_boundary(own, boundary_).drop("geom")
+
+
 def boundary(spark: SparkSession, geojson: str, admin_name: str | None = None) -> DataFrame:
     """Boundaries (name, geom) from a GeoJSON file; a name is compared without regard to case, and one that is missing raises KeyError with those there are."""
     shape = "features array<struct<properties:struct<shapeName:string>,geometry:struct<type:string,coordinates:string>>>"
