@@ -255,12 +255,13 @@ def pack_chips(r: Region) -> None:
     """One row for each chip, numbered in order of name (h5_row), with its pixels: places, an array of bands for each, and the mask."""
     bands = list(r.cfg.imagery.bands)
 
-    def build() -> DataFrame:
-        pixels = F.array_sort(F.collect_list(F.struct("at", F.array(*[F.col(b).cast("int") for b in bands]).alias("bands"), F.col("label").cast("int").alias("label"))))
-        payload = r.read("chips", "pixels").groupBy("name").agg(pixels.alias("pixels"))
-        return packed(r.read("chips", "index"), ["name"]).join(payload, "name")
+    r.make(("chips", "packed"), ("chips",), [r.store.table("chips", "index")], lambda: payload(r.read("chips", "index"), r.read("chips", "pixels"), bands))
+
 
-    r.make(("chips", "packed"), ("chips",), [r.store.table("chips", "index")], build)
+def payload(index: DataFrame, pixels: DataFrame, bands: list[str]) -> DataFrame:
+    """``index`` with h5_row and the chip's pixels (name, at, bands, label) in order of place."""
+    own = F.struct("at", F.array(*[F.col(b).cast("int") for b in bands]).alias("bands"), F.col("label").cast("int").alias("label"))
+    return packed(index, ["name"]).join(pixels.groupBy("name").agg(F.array_sort(F.collect_list(own)).alias("pixels")), "name")
 
 
 def unpacked(table: DataFrame, rows: list[int], bands: list[str]) -> DataFrame:
