@@ -117,7 +117,7 @@ def severities(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: str = "doc_id", text: str = "text", sample: int = SAMPLE, seed: int = 0) -> Model:
-    """Fits on at most ``sample`` labelled documents.
+    """Fits on at most ``sample`` labelled documents; of rows that share an id the first in order of text counts.
 
     Labels with a null id or grade, or a negative grade, are ignored; of several labels of a document the highest
     counts. Grades are 0 to the highest in the sample. With fewer than two different grades nothing is fitted,
@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
     textgrams.small_batches(docs.sparkSession)
     own = labels.where(F.col(identifier).isNotNull() & (F.col(grade) >= 0)).groupBy(F.col(identifier).alias("__id")).agg(F.max(grade).cast("int").alias("__grade"))
     own = own.orderBy(F.xxhash64(F.lit(seed), "__id"), "__id").limit(sample)
-    met = docs.select(F.col(identifier).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(own), "__id").select("__grade", "__text")
+    met = docs.select(F.col(identifier).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(own), "__id")
+    met = met.groupBy("__id", "__grade").agg(F.min("__text").alias("__text")).select("__grade", "__text")  # one row of those that share an id
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic", identifier: st
         return fit_ordinal(np.empty(0, int), np.empty(0, np.uint64), np.empty(0, int), 0)
     counts = met.mapInArrow(tally, "feature long, n long, s double").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).where("n >= 3")
     off = (F.col("s") - m["mean"] * F.col("n")) / F.sqrt(m["variance"] * F.col("n"))
-    listed = counts.withColumn("off", F.abs(off)).where(F.col("off") >= ERRORS).orderBy(F.desc("off"), "feature").limit(FEATURES).toPandas()
-    chosen = np.sort(listed.feature.to_numpy(np.int64).view(np.uint64))
+    listed = counts.withColumn("off", F.abs(off)).where(F.col("off") >= ERRORS).orderBy(F.desc("off"), "feature").limit(FEATURES).toArrow()
+    chosen = np.sort(listed.column("feature").to_numpy().view(np.uint64))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

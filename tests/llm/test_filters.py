@@ -1,5 +1,6 @@
 """URL filter, decontamination and toxicity."""
 
+import math
 import random
 import re
 
@@ -110,7 +111,81 @@ def test_ordinal_grades_on_held_out_rows(spark):
     out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
     held = [(out[i].grade, out[i].severity, g) for i, g in grades[1000:]]
     assert np.mean([a == g for a, _, g in held]) > 0.95
-    assert all(abs(s - g) < 0.9 for _, s, g in held if g != 1 or s) or np.mean([abs(s - g) for _, s, g in held]) < 0.15
+    assert np.mean([abs(s - g) for _, s, g in held]) < 0.15
+
+
+def loss(p, x, grade, grades, l2=0.3):
+    """Penalised negative log likelihood of cumulative links: p holds the weights, then the thresholds."""
+    w, theta = p[: x.shape[1]], p[x.shape[1] :]
+    if (np.diff(theta) <= 0).any():
+        return np.inf
+    total = l2 / 2 * float(w @ w)
+    for row, g in zip(x, grade, strict=True):
+        s = float(row @ w)
+        below = [1 / (1 + math.exp(s - t)) for t in theta]
+        prob = (below[g] if g < grades - 1 else 1.0) - (below[g - 1] if g else 0.0)
+        total -= math.log(max(prob, 1e-300))
+    return total
+
+
+def descended(x, grade, grades, steps=400):
+    """The least loss by numeric gradients and a line search."""
+    p = np.concatenate([np.zeros(x.shape[1]), np.arange(grades - 1) - 0.5])
+    rate = 0.05
+    for _ in range(steps):
+        slope = np.array([(loss(p + d, x, grade, grades) - loss(p - d, x, grade, grades)) / 2e-5 for d in np.eye(len(p)) * 1e-5])
+        while rate > 1e-9 and loss(p - rate * slope, x, grade, grades) > loss(p, x, grade, grades):
+            rate /= 2
+        p, rate = p - rate * slope, rate * 1.5
+    return p
+
+
+@pytest.mark.parametrize("grades", [2, 4])
+def test_ordinal_fit_is_the_likelihood_optimum(grades):
+    rng = np.random.default_rng(grades)
+    x = (rng.random((80, 4)) < 0.4).astype(float)
+    grade = np.clip((x @ np.array([1.5, -1.0, 0.5, 0.0]) + rng.normal(0, 1, 80) + 1).astype(int), 0, grades - 1)
+    doc, feature = np.nonzero(x)
+    model = toxicity.fit_ordinal(doc, feature.astype(np.uint64) + 10, grade, grades, steps=4000, rate=0.02)
+    assert model.features.tolist() == [10, 11, 12, 13] and (np.diff(model.thresholds) > 0).all()
+    own, best = np.concatenate([model.weights, model.thresholds]), descended(x, grade, grades)
+    assert loss(own, x, grade, grades) <= loss(best, x, grade, grades) + 1e-3
+    assert np.allclose(own, best, atol=0.02)
+
+
+def test_expected_severity_like_brute_force():
+    import pyarrow as pa
+    from pvscan.llm import textgrams
+
+    def named(word):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        own = {int(textgrams.span_hashes(raw, np.array([0]), np.array([len(raw)]))[0])}
+        for size in toxicity.BEGINNINGS:
+            if len(raw) > size:
+                h = textgrams.span_hashes(raw, np.array([0]), np.array([size])) + np.uint64(size)
+                own.add(int(textgrams.mix(h)[0]))
+        return own
+
+    texts = ["Vile, vile HORRIBLE things", "", None, "nice ÉTÉ", "horribly horrible" * 40, "x " * 3000 + "vile"]
+    weights = {}
+    for k, word in enumerate(("vile", "horrible", "nice", "things")):
+        weights |= {f: 0.7 * k - 0.5 for f in named(word)}
+    features = np.array(sorted(weights), np.uint64)
+    model = toxicity.Model(features, np.array([weights[int(f)] for f in features]), np.array([-0.4, 0.3, 1.1]), 4)
+    severity, most = toxicity.severities(model, pa.array(texts))
+    for k, text in enumerate(texts):
+        found = re.findall(r"[0-9a-z\x80-\U0010FFFF]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+        score = sum(weights.get(f, 0.0) for f in set().union(*map(named, found)))
+        below = [0.0, *(1 / (1 + math.exp(score - t)) for t in model.thresholds), 1.0]
+        prob = np.diff(below)
+        assert severity[k] == pytest.approx(sum(g * p for g, p in enumerate(prob))) and most[k] == prob.argmax()
+
+
+def test_repeated_documents_of_a_label_count_once(spark):
+    rows, grades = graded(300, 2)
+    labels = spark.createDataFrame(grades, "doc_id long, toxic int")
+    one, many = (toxicity.fit(spark.createDataFrame(rows + rows[:1] * n, "doc_id long, text string"), labels) for n in (0, 50))
+    assert np.array_equal(one.features, many.features) and np.allclose(one.weights, many.weights) and np.allclose(one.thresholds, many.thresholds)
 
 
 def test_toxicity_on_given_labels(spark):
@@ -119,7 +194,7 @@ def test_toxicity_on_given_labels(spark):
     train, test = labels.where("doc_id % 5 > 0"), labels.where("doc_id % 5 = 0")
     model = toxicity.fit(docs, train)
     got = toxicity.score(docs, model).join(test, "doc_id").select((F.col("severity") >= 0.5).alias("p"), (F.col("toxic") > 0).alias("t")).toPandas()
-    assert (got.p & got.t).sum() / got.t.sum() > 0.85  # some labels are wrong by design
+    assert (got.p & got.t).sum() / got.t.sum() > 0.9  # some labels are wrong by design
     assert (got.p & ~got.t).sum() / (~got.t).sum() < 0.03
 
 
