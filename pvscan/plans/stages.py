@@ -29,7 +29,7 @@ class Region:
     """A configured region with its store and its inputs."""
 
     def __init__(self, spark: SparkSession, cfg: Config, inputs: str | Path) -> None:
-        self.spark, self.cfg, self.inputs, self.store = spark, cfg, Path(inputs), Store(cfg.region_dir)
+        self.spark, self.cfg, self.inputs, self.store = spark, cfg, Path(inputs), Store(Path(cfg.data_dir) / cfg.region)
 
     def read(self, *parts: str) -> DataFrame:
         return self.spark.read.parquet(str(self.store.table(*parts)))
@@ -185,7 +185,7 @@ def buildings(r: Region) -> None:
         for later in own[1:]:
             inside = labels.points_of(later, kept)
             kept = kept.unionByName(later.join(inside, "id", "left_anti"))
-        return labels.with_building_id(geo.with_min_area(kept, b.fetch_area_min_m2), ["source", "id"]).drop("shape")
+        return labels.with_building_id(geo.with_min_area(kept, b.areas.fetched), ["source", "id"]).drop("shape")
 
     r.make(("buildings", "buildings"), ("aoi", "buildings", "overture"), [r.store.table("aoi", "boundary")], build)
 
@@ -376,7 +376,7 @@ def infer(r: Region, run_id: str | None = None, only_tiles: list[str] | None = N
     if not todo:
         log.info("all results are fresh")
         return
-    rois = r.read("buildings", "buildings").where(F.col("area_m2") >= b.effective_roi_area_min_m2).select(*spatial.BOX)
+    rois = r.read("buildings", "buildings").where(F.col("area_m2") >= b.areas.scored).select(*spatial.BOX)
     if b.use_screen_candidates:
         rois = rois.unionByName(r.read("screen", "candidates").select(*spatial.BOX))
     keys = ["tile", "range_idx"]

@@ -10,7 +10,7 @@ from pvscan.plans import stages
 from pvscan.sources import vectors
 from pyspark.sql import functions as F
 
-BASE = {"region": "x", "aoi": {"source": "bbox", "bbox": [6.10, 51.30, 6.25, 51.45]}, "imagery": {"date_ranges": [["2025-06-01", "2025-07-31"]]}}
+BASE = {"region": "x", "aoi": {"source": "bbox", "bbox": [11.40, 48.02, 11.58, 48.18]}, "imagery": {"date_ranges": [["2025-06-01", "2025-07-31"]]}}
 
 
 def changed(**sections):
@@ -29,8 +29,8 @@ def test_invalid_settings(bad):
 
 def test_defaults_and_run_id():
     cfg = parse_config(BASE)
-    assert cfg.imagery.collection == "sentinel2-temporal-mosaics" and cfg.in_channels == 10 and len(cfg.run_id()) == 10
-    assert cfg.buildings.fetch_area_min_m2 == 1000 and parse_config(changed(buildings={"roi_area_min_m2": 500})).buildings.fetch_area_min_m2 == 500
+    assert cfg.imagery.collection == "sentinel2-temporal-mosaics" and len(cfg.imagery.bands) == 10 and len(cfg.run_id()) == 10
+    assert cfg.buildings.areas == (1000, 1000) and parse_config(changed(buildings={"roi_area_min_m2": 450})).buildings.areas == (450, 450)
     same = [changed(buildings={"roi_area_min_m2": 5}), changed(postprocess={"prob_threshold": 0.9}), changed(clean_negatives={"prob_threshold": 0.9})]
     assert {parse_config(c).run_id() for c in same} == {cfg.run_id()}
     assert parse_config(changed(chips={"neg_ratio": 1})).run_id() != cfg.run_id()
@@ -54,10 +54,10 @@ def test_freshness(tmp_path):
 
 def test_catalogue(spark, tmp_path):
     path = tmp_path / "c" / "catalogue.json"
-    assert artifacts.register_composite(path, "32ULB", 0, bands=["B02"]) and not artifacts.register_composite(path, "32ULB", 0, bands=["B02"])
-    assert artifacts.register_composite(path, "32ULB", 0, bands=["B03"]) and artifacts.composites(spark, path).count() == 1
+    assert artifacts.register_composite(path, "32UPU", 0, bands=["B02"]) and not artifacts.register_composite(path, "32UPU", 0, bands=["B02"])
+    assert artifacts.register_composite(path, "32UPU", 0, bands=["B03"]) and artifacts.composites(spark, path).count() == 1
     path.write_text("{broken")
-    assert artifacts.register_composite(path, "31UFT", 1) and [p.name for p in path.parent.iterdir()] == ["catalogue.json"]
+    assert artifacts.register_composite(path, "31UDQ", 1) and [p.name for p in path.parent.iterdir()] == ["catalogue.json"]
 
 
 def test_queries_of_the_map():
@@ -93,7 +93,7 @@ def test_boundaries(spark, tmp_path):
 
 
 def geom(lon, lat, w, h):
-    dx, dy = w / 69_500.0, h / 111_300.0
+    dx, dy = w / 74_400.0, h / 111_200.0
     return [[[{"x": lon + a * dx, "y": lat + b * dy} for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]]]
 
 
@@ -106,8 +106,8 @@ def region(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("region")
     box = "struct<xmin:double,xmax:double,ymin:double,ymax:double>"
     bounds = lambda g: (min(p["x"] for p in g[0][0]), max(p["x"] for p in g[0][0]), min(p["y"] for p in g[0][0]), max(p["y"] for p in g[0][0]))
-    roofs = [geom(6.11 + 0.012 * i, 51.35, 80, 80) for i in range(10)]
-    panels = [geom(6.11 + 0.012 * i, 51.35, 60, 60) for i in range(3)]
+    roofs = [geom(11.42 + 0.011 * i, 48.10, 80, 80) for i in range(10)]
+    panels = [geom(11.42 + 0.011 * i, 48.10, 60, 60) for i in range(3)]
     save = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{root}/inputs/{name}.parquet")
     save([(f"b{i}", bounds(g), g) for i, g in enumerate(roofs)], f"id string, bbox {box}, geom {GEOM}", "buildings")
     save([(f"s{i}", bounds(g), "power", [(f"w{i + 1}@1",)], {"generator:source": "solar", "location": "roof"}, g) for i, g in enumerate(panels)], f"id string, bbox {box}, subtype string, sources array<struct<record_id:string>>, source_tags map<string,string>, geom {GEOM}", "infrastructure")
@@ -116,10 +116,10 @@ def region(spark, tmp_path_factory):
 
 def test_region_from_boundary_to_map(spark, region, tmp_path):
     root, roofs = region
-    raw = changed(imagery={"stac_source": "planetary_computer", "bands": ["B02", "B03"], "tiles": ["32ULB"]}, model={"patch_size": 16}, chips={"pos_per_label": 2, "neg_ratio": 1}, split={"block_size_km": 1})
+    raw = changed(imagery={"stac_source": "planetary_computer", "bands": ["B02", "B03"], "tiles": ["32UPU"]}, model={"patch_size": 16}, chips={"pos_per_label": 2, "neg_ratio": 1}, split={"block_size_km": 1})
     r = stages.Region(spark, parse_config({**raw, "data_dir": str(root / "data")}), root / "inputs")
     stages.aoi(r)
-    assert json.loads((r.store.root / "aoi" / "tiles.json").read_text()) == ["32ULB"]
+    assert json.loads((r.store.root / "aoi" / "tiles.json").read_text()) == ["32UPU"]
     stages.make_labels(r)
     found = r.read("osm", "labels").collect()
     assert sorted(x.group for x in found) == ["bb0", "bb1", "bb2"] and all(x.has_roof_tag and x.on_building and 3000 < x.area_m2 < 4200 for x in found)
@@ -132,18 +132,18 @@ def test_region_from_boundary_to_map(spark, region, tmp_path):
     inside = lambda x, y, n: any(b.x1 <= x <= b.x1 + 60 and b.y1 <= y <= b.y1 + 60 for b in own if b.id in {f"b{i}" for i in range(n)})
     width, height = int((max(b.x2 for b in own) + 200 - x0) / 10), int((y0 - min(b.y1 for b in own) + 200) / 10)
     pixels = [(row, col, 8000 if inside(x0 + 10 * col + 5, y0 - 10 * row - 5, 5) else 500) for row in range(height) for col in range(width)]
-    obs = [(i, "32ULB", row, col, band, 4, float(v)) for i in (1, 2) for row, col, v in pixels for band in ("B02", "B03")]
-    obs += [(3, "32ULB", row, col, "B02", 9, 9000.0) for row, col, _ in pixels]  # clouded all over
+    obs = [(i, "32UPU", row, col, band, 4, float(v)) for i in (1, 2) for row, col, v in pixels for band in ("B02", "B03")]
+    obs += [(3, "32UPU", row, col, "B02", 9, 9000.0) for row, col, _ in pixels]  # clouded all over
     write = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{root}/inputs/{name}.parquet")
     write(obs, "item_id long, tile string, r long, c long, band string, scl int, value double", "observations")
-    write([(i, "32ULB", f"2025-06-0{i} 10:00:00", 5.0, "sentinel-2-l2a") for i in (1, 2)] + [(3, "32ULB", "2021-06-01 10:00:00", 5.0, "sentinel-2-l2a")], "item_id long, tile string, ts string, cloud double, collection string", "scenes")
-    write([("32ULB", float(x0), float(y0))], "tile string, x double, y double", "tiles")
+    write([(i, "32UPU", f"2025-06-0{i} 10:00:00", 5.0, "sentinel-2-l2a") for i in (1, 2)] + [(3, "32UPU", "2021-06-01 10:00:00", 5.0, "sentinel-2-l2a")], "item_id long, tile string, ts string, cloud double, collection string", "scenes")
+    write([("32UPU", float(x0), float(y0))], "tile string, x double, y double", "tiles")
     stages.composite(r)
     catalogue = r.store.root / "composites" / "catalogue.json"
     assert artifacts.composites(spark, catalogue).count() == 1
     elsewhere = lambda *dates: stages.Region(spark, parse_config({**changed(imagery={"stac_source": "planetary_computer", "bands": ["B02"], "date_ranges": [list(dates)]}), "data_dir": str(root / "data")}), root / "inputs")
     with pytest.raises(RuntimeError):
-        stages.composite(elsewhere("2020-01-01", "2020-02-01"), ["32ULB"])
+        stages.composite(elsewhere("2020-01-01", "2020-02-01"), ["32UPU"])
     stages.composite(r)
     values = {tuple(x) for x in stages._rasters(r).select("B02", "B03").distinct().collect()}
     assert values == {(8000, 8000), (500, 500)} and stages._rasters(r).count() == len(pixels)
@@ -188,6 +188,6 @@ def test_region_from_boundary_to_map(spark, region, tmp_path):
 
 
 def test_command_line():
-    args = cli.parser().parse_args(["infer", "-c", "a.yaml", "--tiles", "32ULB, 31UFT", "--model-ckpt", "m"])
-    assert args.tiles == ["32ULB", "31UFT"] and args.model_ckpt == "m" and args.run_id is None
+    args = cli.parser().parse_args(["infer", "-c", "a.yaml", "--tiles", "32UPU, 31UDQ", "--model-ckpt", "m"])
+    assert args.tiles == ["32UPU", "31UDQ"] and args.model_ckpt == "m" and args.run_id is None
     assert set(cli.COMMANDS) >= {"aoi", "labels", "composite", "buildings", "chips", "pack-chips", "train", "clean-negatives", "embed-screen", "infer", "postprocess", "report", "validate", "run-all"}
