@@ -40,7 +40,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: later plans start from it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._scratch = path
     return table
