@@ -32,6 +32,8 @@ ORDER, BITS = 5, 12
 KNOWN = (1 << BITS) - 2
 #: Bytes of text in a chunk (or one document), and characters scored at once.
 CHUNK, STEP = 32 << 20, 1 << 20
+#: How hard chunks are compressed; they are written once and read three times.
+LEVEL = 6
 #: One part of so many of the trusted documents sets the thresholds.
 FOLDS = 8
 _CHUNKS = "chunk long, ids array<long>, langs array<string>, sizes array<long>, blob binary"
@@ -42,7 +44,7 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     part, k = TaskContext.get().partitionId(), 0
-    ids, langs, sizes, blobs, held, packer = [], [], [], [], 0, zstandard.ZstdCompressor(level=3).compressobj()
+    ids, langs, sizes, blobs, held, packer = [], [], [], [], 0, zstandard.ZstdCompressor(level=LEVEL).compressobj()
     for batch in batches:
         for own in textgrams.slabs(batch, "text"):
             raw, offsets = textgrams.utf8(own.column(2))
@@ -53,7 +55,7 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held += len(raw)
             if held >= CHUNK:
                 yield _chunk(part << 32 | k, ids, langs, sizes, [*blobs, packer.flush()])
-                ids, langs, sizes, blobs, held, packer, k = [], [], [], [], 0, zstandard.ZstdCompressor(level=3).compressobj(), k + 1
+                ids, langs, sizes, blobs, held, packer, k = [], [], [], [], 0, zstandard.ZstdCompressor(level=LEVEL).compressobj(), k + 1
     if ids:
         yield _chunk(part << 32 | k, ids, langs, sizes, [*blobs, packer.flush()])
 
