@@ -72,7 +72,9 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str
     met = met.where(F.col("digest") == F.col("u_digest"))
     rank = F.struct(F.length("expr"), F.length("r_host"), F.col("r_verdict"), F.col("expr"))
     best = met.groupBy("host", "path").agg(F.max(rank).alias("best")).select("host", "path", F.col("best.expr").alias("rule"), F.col("best.r_verdict").alias("__own"))
-    out = urls.join(best, ["host", "path"], "left")
+    # rows without a host have no rule; they don't meet in the join, however many they are
+    out = urls.where(F.length("host") > 0).join(best, ["host", "path"], "left")
+    out = out.unionByName(urls.where(F.length("host") == 0), allowMissingColumns=True)
     keep = [c for c in urls.columns if c not in ("host", "path")]
     return out.select(*keep, "host", "path", "rule", F.coalesce("__own", F.lit(default)).alias("verdict"))
 
