@@ -31,7 +31,8 @@ def box_pairs(left: DataFrame, right: DataFrame, cell: float = 128.0, within: fl
 
     Both sides need x1, y1, x2, y2. Callers add the exact predicate for anything but boxes that touch.
     """
-    levels = sorted({r[0] for df in (left, right) for r in df.select(_level(cell, within).alias("l")).distinct().collect()})  # at most some forty
+    found = left.select(_level(cell, within).alias("l")).union(right.select(_level(cell, within).alias("l"))).distinct()
+    levels = sorted(r[0] for r in found.collect())  # at most some forty
     named = lambda df, p: df.select(*[F.col(c).alias(c if c.startswith("__") else p + c) for c in df.columns])
     lp, rp = left_prefix, right_prefix
     a = named(_celled(left, "__own_l", levels, cell, within), lp)
