@@ -152,21 +152,35 @@ def test_head_at_the_mean_gives_the_bias(spark):
     assert p == pytest.approx(1 / (1 + np.exp(-0.5)))
 
 
-def test_jitter_and_augmentation():
+def test_jitter_and_augmentation(spark):
     rng = np.random.default_rng(0)
-    for _ in range(50):
-        r, c = curation.jittered_corner(100.5, 200.5, 64, rng)
-        assert abs(r + 32 - 100) <= 16 and abs(c + 32 - 200) <= 16
+    own = spark.range(50).select(*[x.alias(n) for n, x in zip("rc", curation.jittered_corner(F.lit(100.5), F.lit(200.5), 64, F.col("id").cast("string"), 7), strict=True)]).collect()
+    assert all(abs(x.r + 32 - 100) <= 16 and abs(x.c + 32 - 200) <= 16 for x in own) and len({x.r for x in own}) > 10
     image = np.arange(32).reshape(2, 4, 4)
     a, b = curation.augmented(image, image[0], rng)
     assert sorted(a[0].ravel()) == list(range(16)) and (a[0] == b).all()
     assert curation.stride(64, 0.5) == 32 and curation.stride(1, 0.1) == 1
 
 
-def test_labels_on_every_order_like_brute_force(spark, monkeypatch):
-    """The label queries with v_solar_dense laid out from all orders: five times as dense as the table itself."""
-    columns, _, inner = testbed._TABLES["v_solar_dense"]
-    monkeypatch.setitem(testbed._TABLES, "v_solar_dense", (columns, "orders", inner))
+@pytest.mark.parametrize(("how", "seed"), [("shuffled", 3), ("hashed", 3), ("hashed", 4)])
+def test_splits_never_divide_blocks(spark, how, seed):
+    points = spark.createDataFrame([(i, float(i * 313 % 9000), float(i * 717 % 7000)) for i in range(400)], "id int, x double, y double")
+    rows = curation.assign_splits(points, F.col("x"), F.col("y"), 1.0, 0.6, 0.2, seed, how).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.block, set()).add(r.split)
+    assert len(rows) == 400 and all(len(s) == 1 for s in by.values())
+    a, b = curation.split_sizes(len(by), 0.6, 0.2)
+    assert [sum(s == {x} for s in by.values()) for x in ("train", "val", "test")] == [a, b, len(by) - a - b]
+
+
+def test_subset_of_tiles(spark):
+    few, many = (spark.createDataFrame([(x,) for x in xs], "tile string") for xs in (["a", "b", "a"], ["a", "b", "c"]))
+    assert curation.all_in(few, many, "tile") and not curation.all_in(many, few, "tile")
+
+
+def test_labels_on_every_order_like_brute_force(spark):
+    """The label queries against brute force, on the table of all orders."""
     sf = "/root/testdata/sf0.001"
     solar = sorted(tuple(r) for r in testbed.table(spark, sf, "v_solar_dense").select("osm_id", *spatial.BOX).collect())
     buildings = [tuple(r) for r in testbed.table(spark, sf, "v_buildings").select("building_id", *spatial.BOX).collect()]
