@@ -119,6 +119,49 @@ def test_very_many_equal_texts_are_one_class(spark, tmp_path):
     assert dict(seen)["classes"] == 3 and dict(seen)["met"] < 100
 
 
+def halves(seed, groups=30):
+    """Groups of texts whose likeness lies around the threshold: some link, most only share many shingles."""
+    rnd = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{i}" for i in range(rnd.choice([8, 60, 200]))]
+        for k in range(6):
+            own = list(base)
+            for i in rnd.sample(range(len(own)), len(own) * k // 150):
+                own[i] = f"x{rnd.randrange(10**9)}"
+            rows.append((10 * g + k, " ".join(own + [f"y{rnd.randrange(10**9)}" for _ in range(rnd.randrange(len(base) // 10 + 1))])))
+    return rows
+
+
+def test_pairs_around_the_threshold_and_what_is_written(spark, monkeypatch):
+    """No link is lost by the positional filter, which drops most pairs that only share shingles; tokens are in one table alone, gone when they were dealt."""
+    rows = halves(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, gone, write, discard = [], [], jaccard.written, jaccard.discard
+
+    def watched(df, name):
+        table = write(df, name)
+        seen.append((name, table, table.where("kind = 0").select("a", "b").distinct().count() if name == "met" else 0))
+        return table
+
+    monkeypatch.setattr(jaccard, "written", watched)
+    monkeypatch.setattr(jaccard, "discard", lambda *x: (gone.extend((y, len(seen)) for y in x), discard(*x)))
+    # nothing is listed as frequent, and no group is a star
+    got = [tuple(r) for r in jaccard.near_duplicates(docs, least_hot=1000).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(got, key=key) == sorted(brute_components(rows), key=key)
+    sets = [shingles(t) for _, t in rows]
+    alike = sum(100 * len(a & b) >= 75 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    # without the filter: pairs of compatible size that share a shingle of their prefixes
+    order = lambda x: sorted(x, key=lambda g: hashlib.md5(repr(g).encode()).digest())
+    front = [set(order(x)[: len(x) - -(-75 * len(x) // 100) + 1]) for x in sets]
+    met = sum(bool(a & b) and 100 * min(len(x), len(y)) >= 75 * max(len(x), len(y)) for i, (a, x) in enumerate(zip(front, sets)) for b, y in zip(front[:i], sets))
+    pairs = next(n for name, _, n in seen if name == "met")
+    assert alike > 20 and alike <= pairs < 0.8 * met
+    assert [name for name, table, _ in seen if "tokens" in table.columns] == ["sketch"]
+    at = [name for name, *_ in seen].index("met") + 2
+    assert any("tokens" in table.columns and when <= at for table, when in gone)
+
+
 def brute_repeats(rows):
     starts = {}
     for i, t, *_ in rows:
