@@ -57,16 +57,20 @@ def windows(height: int, width: int, patch: int, stride: int | None = None) -> l
     return [(r, c) for r in range(0, height, stride or patch) for c in range(0, width, stride or patch)]
 
 
-def roi_windows(boxes: DataFrame, patch: int, height: int | Column, width: int | Column, buffer: float = 0.0, pixel: float = 1.0, keys: list[str] = ()) -> DataFrame:
+def roi_windows(boxes: DataFrame, patch: int, height: int | Column | None = None, width: int | Column | None = None, buffer: float = 0.0, pixel: float = 1.0, keys: list[str] = ()) -> DataFrame:
     """Distinct windows (keys, row, col: of the upper left pixel) that touch a box grown by ``buffer``; coordinates in metres, y down.
 
-    Each box names the windows it covers; no window is tested against all boxes. ``height`` and ``width`` of the raster may be columns of ``boxes``.
+    Each box names the windows it covers; no window is tested against all boxes. ``height`` and ``width`` of the raster may be columns of ``boxes``;
+    without them it has no end.
     """
     size = patch * pixel
-    boxes = boxes.withColumn("height", height if isinstance(height, Column) else F.lit(height)).withColumn("width", width if isinstance(width, Column) else F.lit(width))
+    end = lambda n: n if isinstance(n, Column) else F.lit(n).cast("bigint")
+    boxes = boxes.withColumn("height", end(height)).withColumn("width", end(width))
     first = lambda lo: F.greatest(F.ceil((F.col(lo) - buffer) / size) - 1, F.lit(0))
+    # least() passes over nulls
     last = lambda hi, most: F.least(F.floor((F.col(hi) + buffer) / size), F.floor((F.col(most) - 1) / patch))
-    inside = (F.col("x2") + buffer >= 0) & (F.col("y2") + buffer >= 0) & (F.col("x1") - buffer <= F.col("width") * pixel) & (F.col("y1") - buffer <= F.col("height") * pixel)
+    before = lambda lo, most: F.coalesce(F.col(lo) - buffer <= F.col(most) * pixel, F.lit(True))
+    inside = (F.col("x2") + buffer >= 0) & (F.col("y2") + buffer >= 0) & before("x1", "width") & before("y1", "height")
     own = boxes.where(inside & (first("x1") <= last("x2", "width")) & (first("y1") <= last("y2", "height")))
     own = own.select(*keys, F.explode(F.sequence(first("y1"), last("y2", "height"))).alias("i"), "x1", "x2", "width")
     own = own.select(*keys, "i", F.explode(F.sequence(first("x1"), last("x2", "width"))).alias("j"))

@@ -160,7 +160,7 @@ def _windows_sql(source: str, buffer: int) -> str:
 @query(f"{cte('v_buildings')} {_windows_sql('select * from v_buildings where (x2 - x1) * (y2 - y1) >= 1000', 10)}")
 def roi_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "v_buildings").where((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) >= 1000)
-    return raster.roi_windows(own, PATCH, SIDE, SIDE, 10.0)
+    return raster.roi_windows(own, PATCH, buffer=10.0)
 
 
 @query(f"{cte('v_buildings', 'v_solar')} {_windows_sql('select x1, y1, x2, y2 from v_buildings where (x2 - x1) * (y2 - y1) >= 1000 union all select x1, y1, x2, y2 from v_solar', 0)}")
@@ -319,7 +319,7 @@ def chip_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 select id, round(1 / (1 + exp(-(8 * least(greatest(p * 10000 / 10000, 0), 1) - 4))), 6) as prob from v_pixels q where exists (select 1 from w where w.row = q.r // 64 * 64 and w.col = q.c // 64 * 64)""")
 def windowed_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "v_buildings").where((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) >= 1000)
-    chosen = raster.roi_windows(own, PATCH, SIDE, SIDE)
+    chosen = raster.roi_windows(own, PATCH)
     pixels = table(spark, sf_dir, "v_pixels").withColumn("band", F.col("p") * 10_000)
     scored = raster.score_windows(pixels, chosen, PATCH, _head, ["band"])
     return scored.join(pixels, ["r", "c"]).select("id", F.round("prob", 6).alias("prob"))
