@@ -20,7 +20,6 @@ ORACLE_SQL: dict[str, str] = {}
 PROB, COVERAGE = 0.35, 0.10
 BOUNDS = (6.0, 51.0, 7.3, 52.2)
 PATCH = 64
-SIDE = 1 << 20
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -166,7 +165,7 @@ def roi_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{cte('v_buildings', 'v_solar')} {_windows_sql('select x1, y1, x2, y2 from v_buildings where (x2 - x1) * (y2 - y1) >= 1000 union all select x1, y1, x2, y2 from v_solar', 0)}")
 def roi_windows_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "v_buildings").where((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) >= 1000).select(*spatial.BOX)
-    return raster.roi_windows(own.unionByName(table(spark, sf_dir, "v_solar").select(*spatial.BOX)), PATCH, SIDE, SIDE)
+    return raster.roi_windows(own.unionByName(table(spark, sf_dir, "v_solar").select(*spatial.BOX)), PATCH)
 
 
 @query(f"""{cte('v_pixels')} select cast(floor(r / 16) * 16 as bigint) as row, cast(floor(c / 16) * 16 as bigint) as col, round(1 - cast(count(*) filter (where p >= 0.5) as double) / 256, 9) as nodata

@@ -36,7 +36,7 @@ def test_query(spark, duck, name):
     assert Counter(tuple(plain(r[c]) for c in columns) for r in got) == Counter(tuple(plain(r[i]) for i in at) for r in want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["roi_windows"])
+@pytest.mark.parametrize("name", ["roi_windows", "roi_windows_screen"])
 def test_windows_of_far_boxes(spark, tmp_path, name):
     """Boxes of high keys lie millions of metres down; their windows are in the result like others."""
     con = duckdb.connect()
