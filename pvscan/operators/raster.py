@@ -80,21 +80,29 @@ def roi_windows(boxes: DataFrame, patch: int, height: int | Column | None = None
 def cut_windows(windows_: DataFrame, pixels: DataFrame, keys: list[str], patch: int) -> DataFrame:
     """The pixels in each of ``windows_`` (keys, row, col and others; they may overlap and lie at any pixel), with k: the place in the window.
 
-    A window and a pixel meet by the block of ``patch`` pixels that the pixel is in; a window touches four at most. What lies beyond the raster has no row.
+    A window and a pixel meet by the block of ``patch`` pixels that the pixel is in; a window touches four at most. The join is by sorting, see ``labelled``. What lies beyond the raster has no row.
     """
     block = lambda c: F.floor(F.col(c) / patch)
     both = lambda c: F.explode(F.array_distinct(F.array(block(c), F.floor((F.col(c) + patch - 1) / patch))))
     wide = windows_.withColumn("br", both("row")).withColumn("bc", both("col"))
-    own = wide.join(pixels.withColumn("br", block("r")).withColumn("bc", block("c")), [*keys, "br", "bc"])
+    own = wide.hint("merge").join(pixels.withColumn("br", block("r")).withColumn("bc", block("c")), [*keys, "br", "bc"])
     dr, dc = F.col("r") - F.col("row"), F.col("c") - F.col("col")
     return own.where((dr >= 0) & (dr < patch) & (dc >= 0) & (dc < patch)).withColumn("k", (dr * patch + dc).cast("int")).drop("br", "bc")
 
 
-def shape_pixels(shapes: DataFrame, keys: list[str], pixel: float) -> DataFrame:
-    """Pixels (keys, r, c; r down from y = 0) whose centre is inside a shape: the mask of ``shapes`` (keys, shape and its box in metres, y up)."""
-    at = lambda lo, hi: F.sequence(F.floor(lo / pixel).cast("long"), F.floor(hi / pixel).cast("long"))
-    own = shapes.withColumn("r", F.explode(at(-F.col("y2"), -F.col("y1")))).withColumn("c", F.explode(at(F.col("x1"), F.col("x2"))))
-    return own.where(geo.covers_point(F.col("shape"), (F.col("c") + 0.5) * pixel, -(F.col("r") + 0.5) * pixel)).select(*keys, "r", "c").distinct()
+def labelled(pixels: DataFrame, shapes: DataFrame, keys: list[str], pixel: float, block: int = 64) -> DataFrame:
+    """``pixels`` (keys, r, c and others; r down from y = 0) with label: 1 where their centre is inside one of ``shapes`` (keys, shape and its box in metres, y up), else 0.
+
+    Shapes and pixels meet by blocks of ``block`` pixels, so no shape is laid out in pixels that the raster lacks. Both joins are by sorting: the planner
+    takes a table that was exploded for as small as it was before, and would broadcast it whole.
+    """
+    at = lambda lo, hi: F.explode(F.sequence(F.floor(lo / (pixel * block)).cast("long"), F.floor(hi / (pixel * block)).cast("long")))
+    wide = shapes.select(*keys, "shape", *spatial.BOX).withColumn("br", at(-F.col("y2"), -F.col("y1"))).withColumn("bc", at(F.col("x1"), F.col("x2")))
+    spots = pixels.select(*keys, "r", "c", F.floor(F.col("r") / block).alias("br"), F.floor(F.col("c") / block).alias("bc"))
+    x, y = (F.col("c") + 0.5) * pixel, -(F.col("r") + 0.5) * pixel
+    met = spots.join(wide.hint("merge"), [*keys, "br", "bc"]).where(x.between(F.col("x1"), F.col("x2")) & y.between(F.col("y1"), F.col("y2")))
+    inside = met.where(geo.covers_point(F.col("shape"), x, y)).select(*keys, "r", "c").distinct().withColumn("label", F.lit(1))
+    return pixels.join(inside.hint("merge"), [*keys, "r", "c"], "left").fillna(0, ["label"])
 
 
 def nodata_share(pixels: DataFrame, keys: list[str], patch: int) -> DataFrame:

@@ -438,8 +438,7 @@ k as (select name, cast((v.r - row) * 16 + v.c - col as integer) as spot, p, cas
 def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     solar = table(spark, sf_dir, "v_solar")
     down = solar.select("x1", (-F.col("y2")).alias("y1"), "x2", (-F.col("y1")).alias("y2"))
-    mask = raster.shape_pixels(_boxed(down), [], 1.0).withColumn("label", F.lit(1))
-    pixels = table(spark, sf_dir, "v_pixels").join(mask, ["r", "c"], "left").fillna(0, ["label"])
+    pixels = raster.labelled(table(spark, sf_dir, "v_pixels"), _boxed(down), [], 1.0)
     corners = solar.select(F.col("osm_id").cast("string").alias("name"), (F.col("y1") - 4).alias("row"), (F.col("x1") - 4).alias("col"))
     return raster.cut_windows(corners, pixels, [], 16).select("name", F.col("k").alias("at"), "p", "label")
 

@@ -223,8 +223,8 @@ def chips(r: Region, only_tiles: list[str] | None = None) -> None:
     placed = placed.withColumn("n", first).where("n = 1")
     row, col = curation.jittered_corner(at_r, at_c, patch, F.col("name"), s.seed)
     placed = placed.select("name", "fid", "kind", "k", "block", "split", "tile", row.alias("row"), col.alias("col"), *spatial.BOX)
-    masks = raster.shape_pixels(_in_tiles(positive.select("shape", *spatial.BOX), tiles), ["tile"], side).withColumn("label", F.lit(1))
-    cut = raster.cut_windows(placed.select("name", "tile", "row", "col"), pixels.join(masks, ["tile", "r", "c"], "left").fillna(0, ["label"]), ["tile"], patch)
+    marked = raster.labelled(pixels, _in_tiles(positive.select("shape", *spatial.BOX), tiles), ["tile"], side)
+    cut = raster.cut_windows(placed.select("name", "tile", "row", "col"), marked, ["tile"], patch)
     cut = written(cut.select("name", F.col("k").alias("at"), *bands, "label"), "cut")
     sums = cut.groupBy("name").agg((1 - F.count("*") / F.lit(float(patch * patch))).alias("nodata"), F.sum("label").alias("label_pixels"))
     kept = placed.join(sums, "name").where((F.col("nodata") <= _MOST_NODATA) & ((F.col("kind") == "neg") | (F.col("label_pixels") > 0)))

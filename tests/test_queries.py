@@ -48,3 +48,17 @@ def test_windows_of_far_boxes(spark, tmp_path, name):
     got = sorted((r.row, r.col) for r in QUERIES[name](spark, str(tmp_path)).collect())
     assert got == sorted(con.sql(f"select row, col from ({ORACLE_SQL[name]}) q").fetchall())
     assert got[-1][0] > 17_000_000
+
+
+@pytest.mark.parametrize("name", ["chip_cut"])
+def test_no_exploded_table_is_broadcast(spark, name):
+    """A small file of boxes is millions of pixels: no plan sends them through the driver for its size on disk."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan.splitlines() if x.strip()]
+    broadcast = []
+    for i, (depth, x) in enumerate(lines):
+        if "BroadcastHashJoin" in x:
+            end = next((k for k in range(i + 1, len(lines)) if lines[k][0] <= depth), len(lines))
+            kids = [k for k in range(i + 1, end) if lines[k][0] == lines[i + 1][0]]
+            broadcast += lines[kids[0] : kids[1]] if "BuildLeft" in x else lines[kids[1] : end]
+    assert "SortMergeJoin" in plan and not any("Generate" in x for _, x in broadcast)
