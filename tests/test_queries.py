@@ -50,7 +50,7 @@ def test_windows_of_far_boxes(spark, tmp_path, name):
     assert got[-1][0] > 17_000_000
 
 
-@pytest.mark.parametrize("name", ["chip_cut"])
+@pytest.mark.parametrize("name", ["chip_cut", "chip_pack"])
 def test_no_exploded_table_is_broadcast(spark, name):
     """A small file of boxes is millions of pixels: no plan sends them through the driver for its size on disk."""
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().sparkPlan().toString()
