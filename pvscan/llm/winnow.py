@@ -6,6 +6,7 @@ texts that share ``w + k - 1`` bytes in a row, anywhere, therefore share a finge
 or not there are spaces between words. A text of fewer bytes is one run; one of fewer runs is one window.
 
 Least hashes of windows come from a few passes over the array of hashes, each of which doubles the windows. A long text is taken in segments, so that no more than a segment's hashes are held at once.
+The fingerprint of a text that joins the beginnings of two others is made from theirs, without hashing all of it again.
 """
 
 from __future__ import annotations
@@ -83,6 +84,39 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W,
     return df.withColumn(out, F.when(F.monotonically_increasing_id() >= 0, found))
 
 
+def with_joined_fingerprint(df: DataFrame, text: str, left: str, before: str, after: str, out: str, k: int = K, w: int = W) -> DataFrame:
+    """Adds ``out``: what ``with_fingerprint`` gives of ``text``, of which the first ``left`` bytes begin a text with fingerprint ``before`` and the others begin one with ``after``.
+
+    A window's choice depends on its own bytes only, and choices never go back from a window to the next. So windows within
+    a part choose as in its whole text; those over the seam, with one on either side, and the last one are hashed again,
+    and tell how far the choices of ``before`` and ``after`` are those of windows within the parts. Parts may be shorter
+    than a window, or empty. Null and empty texts have an empty array. Other columns stay as they are.
+    """
+    span, taken = w + k - 1, {c.lower() for c in df.columns}
+    size, at = F.octet_length(F.col(text)), F.col(left).cast("int")
+    begin, end = F.greatest(at - span, F.lit(0)), F.least(at + span, size)
+    names = seam, final = [next(c for i in range(len(taken) + 1) if (c := f"{out}_{kind}{i}").lower() not in taken) for kind in ("seam", "final")]
+    raw = F.col(text).cast("binary")
+    df = df.withColumn(seam, F.substring(raw, begin + 1, end - begin)).withColumn(final, F.substring(raw, size - span + 1, F.lit(span)))
+    for piece in names:
+        df = with_fingerprint(df, piece, piece, k, w)
+
+    def moved(fingerprint: Column, by: Column) -> Column:
+        return F.transform(fingerprint, lambda x: F.struct(x["hash"].alias("hash"), (x["position"] + by).alias("position")))
+
+    def joined(middle: Column) -> Column:
+        none = F.array().cast("array<struct<hash:bigint,position:int>>")
+        first, last = F.get(middle, F.lit(0))["position"], F.element_at(middle, -1)["position"]
+        upto = F.get(F.col(final), F.lit(0))["position"] + size - span
+        ahead = F.when(at >= span, _let(first, lambda p: F.filter(F.col(before), lambda x: x["position"] < p))).otherwise(none)
+        rest = lambda p: F.filter(F.col(after), lambda x: (x["position"] > p["low"]) & (x["position"] <= p["high"]))
+        behind = F.when(size - at >= span, moved(_let(F.struct((last - at).alias("low"), (upto - at).alias("high")), rest), at)).otherwise(none)
+        return F.concat(ahead, middle, behind)
+
+    whole = F.when(size > 0, _let(moved(F.col(seam), begin), joined)).otherwise(F.array().cast("array<struct<hash:bigint,position:int>>"))
+    return df.withColumn(out, F.when(F.monotonically_increasing_id() >= 0, whole)).drop(*names)
+
+
 def positions(fingerprint: Column) -> Column:
     """First byte of each kept run."""
     return F.transform(fingerprint, lambda x: x["position"])
@@ -131,7 +165,8 @@ def op5_winnowing(spark, sf_dir: str, block: int = 256) -> DataFrame:
     The next document is found inside blocks of ``block`` (a power of two) consecutive ids, one task sorting such a block;
     the first document of each block also goes to the block before. Rows that share a doc_id follow one
     another in order of text; those without one come first, in order of their text's hash, in blocks of their own. Null texts count as empty.
-    A single document follows itself. No documents: no rows. Texts are shuffled once.
+    A single document follows itself. No documents: no rows. Texts are shuffled once. An edited text begins two whole texts
+    one after the other, so its fingerprint is joined from theirs, with what lies over the seam hashed again.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     low = docs.agg(F.min("doc_id")).first()[0] or 0
@@ -145,15 +180,18 @@ def op5_winnowing(spark, sf_dir: str, block: int = 256) -> DataFrame:
     order = Window.partitionBy("blk").orderBy(F.col("doc_id").asc_nulls_first(), F.when(F.col("doc_id").isNull(), F.xxhash64("text")), "text")
     heads = dealt.withColumn("k", F.row_number().over(order)).where("k = 1").select(F.col("blk").alias("next"), F.col("text").alias("head"))
     heads = blocks.join(heads, "next").select("blk", "head")
-    heads = with_fingerprint(heads, "head", "fp").select("blk", "head", hash_set(F.col("fp")).alias("head_set"))
-    own = with_fingerprint(dealt, "text", "fp").withColumn("own_set", hash_set(F.col("fp")))
-    own = own.withColumn("ahead", F.lead("text").over(order)).withColumn("ahead_set", F.lead("own_set").over(order))
+    heads = with_fingerprint(heads, "head", "head_fp").select("blk", "head", "head_fp")
+    own = with_fingerprint(dealt, "text", "fp")
+    own = own.withColumn("ahead", F.lead("text").over(order)).withColumn("ahead_fp", F.lead("fp").over(order))
     own = own.join(heads, "blk", "left")
     own = own.withColumn("n_chars", F.length("text").cast("bigint")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
-    own = own.withColumn("following", F.coalesce("ahead", "head")).withColumn("next_set", F.coalesce("ahead_set", "head_set"))
-    own = own.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), (F.col("n_chars") - F.col("half")).cast("int")), F.col("following").substr(F.lit(1), F.col("half"))))
-    own = own.select("doc_id", "n_chars", "fp", "own_set", "next_set", "edited")
-    own = with_fingerprint(own, "edited", "edited_fp").withColumn("edited_set", hash_set(F.col("edited_fp")))
+    own = own.withColumn("following", F.coalesce("ahead", "head")).withColumn("next_fp", F.coalesce("ahead_fp", "head_fp"))
+    own = own.withColumn("begin", F.col("text").substr(F.lit(1), (F.col("n_chars") - F.col("half")).cast("int")))
+    own = own.withColumn("edited", F.concat("begin", F.col("following").substr(F.lit(1), F.col("half")))).withColumn("left", F.octet_length("begin"))
+    own = own.select("doc_id", "n_chars", "fp", "next_fp", "edited", "left")
+    own = with_joined_fingerprint(own, "edited", "left", "fp", "next_fp", "edited_fp")
+    for prints, hashes in (("fp", "own_set"), ("next_fp", "next_set"), ("edited_fp", "edited_set")):
+        own = own.withColumn(hashes, hash_set(F.col(prints)))
     return own.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("own_set"), F.col("edited_set")).alias("near_edited"), likeness(F.col("own_set"), F.col("next_set")).alias("near_next"),

@@ -96,6 +96,41 @@ def test_edited_texts(spark, tmp_path, ids):
         assert got[i].near_edited == pytest.approx(near(sets[0], sets[1])) and got[i].near_next == pytest.approx(near(sets[0], sets[2]))
 
 
+def test_joined_fingerprints_like_brute_force(spark):
+    rnd = random.Random(11)
+    texts = [*periodic_texts(), *("".join(rnd.choice("abcdé 中") for _ in range(rnd.randrange(400))) for _ in range(60)), "", "a", "a" * 300]
+    rows = [(None, 0, "abc", "abc", "kept")]
+    for _ in range(400):
+        a, b = rnd.choice(texts), rnd.choice(texts)
+        first, second = (t[: rnd.choice([0, 1, len(t) // 2, len(t), rnd.randrange(len(t) + 1)])] for t in (a, b))
+        rows.append((first + second, len(first.encode()), a, b, "kept"))
+    pairs = spark.createDataFrame(rows, "text string, at int, a string, b string, j_seam0 string")
+    for k, w in ((winnow.K, winnow.W), (3, 4), (2, 5), (1, 1)):
+        both = winnow.with_fingerprint(winnow.with_fingerprint(pairs, "a", "x", k, w), "b", "y", k, w)
+        out = winnow.with_joined_fingerprint(both, "text", "at", "x", "y", "j", k, w)
+        assert out.columns == [*both.columns, "j"]
+        out = out.select("text", "j_seam0", winnow.positions(F.col("j")).alias("at"), F.transform("j", lambda x: x["hash"]).alias("h")).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            assert r.j_seam0 == "kept" and list(zip(r.h, r.at, strict=True)) == brute_winnow(r.text, k, w)
+
+
+def test_edited_texts_are_hashed_at_their_seams_only(spark, tmp_path, monkeypatch):
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice("abcdé ") for _ in range(4000)) for _ in range(20)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    hashed, plain = [], winnow.with_fingerprint
+
+    def counted(df, text, *a):
+        hashed.append(df.agg(F.sum(F.octet_length(text))).first()[0])
+        return plain(df, text, *a)
+
+    monkeypatch.setattr(winnow, "with_fingerprint", counted)
+    assert winnow.op5_winnowing(spark, str(tmp_path)).count() == 20
+    sizes = [len(t.encode()) for t in texts]
+    assert sum(hashed) <= sum(sizes) + sizes[0] + 20 * 3 * (winnow.K + winnow.W - 1)  # texts, the block's first one, seams and ends
+
+
 def test_winnowing_query_on_no_documents(spark, tmp_path, no_docs):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert winnow.op5_winnowing(spark, str(tmp_path)).count() == 0
